@@ -20,9 +20,12 @@ def _q(fn: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from threadloom.llm import neardup, overlap
+    from threadloom.llm import neardup, overlap, splits
 
     return {
+        "p1_found": _q(splits.related_threads, "turns"),
+        "p1_split": _q(splits.assign_splits, "turns", "split_targets"),
+        "p1_report": _q(splits.split_report, "turns", "split_targets"),
         "p3_found": _q(overlap.overlap_pairs, "turns"),
         "p3_report": _q(overlap.overlap_report, "turns"),
         "p5_found": _q(neardup.near_duplicate_groups, "turns"),
