@@ -20,7 +20,7 @@ def _q(fn: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from threadloom.llm import leakage, neardup, overlap, splits, threads
+    from threadloom.llm import language, leakage, neardup, overlap, splits, threads
 
     return {
         "p1_found": _q(splits.related_threads, "turns"),
@@ -35,6 +35,9 @@ def queries() -> dict[str, Query]:
         "p9_found": lambda spark, d: _q(leakage.leaks, "documents", "fact_probes")(spark, d).select("item_id", "doc_id"),
         "p9_leaks": _q(leakage.leaks, "documents", "fact_probes"),
         "p9_clean": _q(leakage.without_leaks, "documents", "fact_probes"),
+        "p10_found": _q(language.wrong_labels, "documents"),
+        "p10_stretches": _q(language.stretches, "documents"),
+        "p10_documents": _q(language.document_languages, "documents"),
     }
 
 
