@@ -20,7 +20,7 @@ def _q(fn: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from threadloom.llm import language, leakage, neardup, overlap, splits, threads
+    from threadloom.llm import language, leakage, mail, neardup, overlap, splits, threads
 
     return {
         "p1_found": _q(splits.related_threads, "turns"),
@@ -29,6 +29,8 @@ def queries() -> dict[str, Query]:
         "p3_found": _q(overlap.overlap_pairs, "turns"),
         "p3_report": _q(overlap.overlap_report, "turns"),
         "p5_found": _q(neardup.near_duplicate_groups, "turns"),
+        "p6_found": _q(mail.foreign_lines, "turns"),
+        "p6_new_text": _q(mail.new_text, "turns"),
         "p7_found": lambda spark, d: _q(threads.thread_verdicts, "turns", "envelopes")(spark, d).where("dropped").select("thread_id"),
         "p7_verdicts": _q(threads.thread_verdicts, "turns", "envelopes"),
         "p7_conversations": _q(threads.conversations, "turns", "envelopes"),
