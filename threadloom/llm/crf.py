@@ -11,77 +11,90 @@ from collections.abc import Sequence
 import numpy as np
 
 
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis=axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 class CRF:
     def __init__(self, labels: Sequence[str]):
         self.labels = list(labels)
         self.ids: dict[str, int] = {}
         self.w = self.trans = self.start = self.end = None
 
-    def fit(self, seqs: list[list[tuple[str, ...]]], gold: list[list[str]], rounds: int = 140, rate: float = 0.12, l2: float = 2e-4) -> CRF:
-        """Maximise the mean log likelihood by full-batch Adam; sequences are padded to one length."""
+    def fit(self, seqs: list[list[tuple[str, ...]]], gold: list[list[str]], rounds: int = 140, rate: float = 0.12, l2: float = 2e-4, parts: int = 1) -> CRF:
+        """Maximise the mean log likelihood by Adam; a round takes one of ``parts`` equal parts of the table in turn."""
         k = len(self.labels)
+        for s in seqs:
+            for feats in s:
+                for f in feats:
+                    self.ids.setdefault(f, len(self.ids))
+        sets = [self._packed(seqs[i::parts], gold[i::parts]) for i in range(parts)]
+        p = {"w": np.zeros((len(self.ids), k), np.float32), "t": np.zeros((k, k)), "s": np.zeros(k), "e": np.zeros(k)}
+        m1, m2 = {a: np.zeros_like(b) for a, b in p.items()}, {a: np.zeros_like(b) for a, b in p.items()}
+        for it in range(1, rounds + 1):
+            n, g = self._gradient(p, *sets[it % parts])
+            step = rate * min(1.0, 2 * (1 - it / (rounds + 1)))
+            for x in p:
+                grad = g[x] / n - l2 * p[x]
+                m1[x] = 0.9 * m1[x] + 0.1 * grad
+                m2[x] = 0.99 * m2[x] + 0.01 * grad**2
+                p[x] += step * (m1[x] / (1 - 0.9**it)) / (np.sqrt(m2[x] / (1 - 0.99**it)) + 1e-8)
+        self.w, self.trans, self.start, self.end = (p[x].astype(np.float32) for x in ("w", "t", "s", "e"))
+        return self
+
+    def _packed(self, seqs, gold):
+        """Sequences padded to one length: features by cell and by feature, labels, mask."""
         of = {x: i for i, x in enumerate(self.labels)}
         n, t_max = len(seqs), max(map(len, seqs))
         flat, where = [], []
         for i, s in enumerate(seqs):
             for t, feats in enumerate(s):
-                for f in feats:
-                    flat.append(self.ids.setdefault(f, len(self.ids)))
-                    where.append(t * n + i)
+                flat.extend([self.ids[f] for f in feats])
+                where.extend([t * n + i] * len(feats))
         flat, where = np.array(flat), np.array(where)
         lens = np.array([len(s) for s in seqs])
         y = np.zeros((t_max, n), int)
-        mask = np.arange(t_max)[:, None] < lens
         for i, g in enumerate(gold):
             y[: len(g), i] = [of[x] for x in g]
         order = np.argsort(where, kind="stable")
         ef, ew = flat[order], where[order]
         starts = np.flatnonzero(np.concatenate(([True], ew[1:] != ew[:-1])))
-        cells = ew[starts]
         by_f = np.argsort(flat, kind="stable")
         gf, gw = flat[by_f], where[by_f]
         g_starts = np.flatnonzero(np.concatenate(([True], gf[1:] != gf[:-1])))
-        p = {"w": np.zeros((len(self.ids), k)), "t": np.zeros((k, k)), "s": np.zeros(k), "e": np.zeros(k)}
-        m1, m2 = {a: np.zeros_like(b) for a, b in p.items()}, {a: np.zeros_like(b) for a, b in p.items()}
-        rows = np.arange(n)
-        last = lens - 1
-        for it in range(1, rounds + 1):
-            em = np.zeros((t_max * n, k))
-            em[cells] = np.add.reduceat(p["w"][ef], starts, axis=0)
-            em = em.reshape(t_max, n, k)
-            a, b = np.empty_like(em), np.empty_like(em)
-            a[0] = p["s"] + em[0]
-            for t in range(1, t_max):
-                step = _lse(a[t - 1][:, :, None] + p["t"][None], 1) + em[t]
-                a[t] = np.where(mask[t][:, None], step, a[t - 1])
-            z = _lse(a[-1] + p["e"], 1)
-            b[-1] = p["e"]
-            for t in range(t_max - 2, -1, -1):
-                step = _lse(p["t"][None] + (em[t + 1] + b[t + 1])[:, None, :], 2)
-                b[t] = np.where(mask[t + 1][:, None], step, p["e"])
-            post = np.exp(a + b - z[None, :, None]) * mask[:, :, None]
-            g_em = -post
-            g_em[np.arange(t_max)[:, None], rows[None], y] += mask
-            g = {"t": np.zeros((k, k))}
-            for t in range(1, t_max):
-                pair = np.exp(a[t - 1][:, :, None] + p["t"][None] + (em[t] + b[t])[:, None, :] - z[:, None, None]) * mask[t][:, None, None]
-                g["t"] -= pair.sum(0)
-                np.add.at(g["t"], (y[t - 1][mask[t]], y[t][mask[t]]), 1)
-            g["s"] = np.bincount(y[0], minlength=k) - post[0].sum(0)
-            g["e"] = np.bincount(y[last, rows], minlength=k) - post[last, rows].sum(0)
-            g["w"] = np.add.reduceat(g_em.reshape(t_max * n, k)[gw], g_starts, axis=0)
-            for x in p:
-                grad = g[x] / n - l2 * p[x]
-                m1[x] = 0.9 * m1[x] + 0.1 * grad
-                m2[x] = 0.99 * m2[x] + 0.01 * grad**2
-                p[x] += rate * (m1[x] / (1 - 0.9**it)) / (np.sqrt(m2[x] / (1 - 0.99**it)) + 1e-8)
-        self.w, self.trans, self.start, self.end = (p[x].astype(np.float32) for x in ("w", "t", "s", "e"))
-        return self
+        return n, t_max, lens, y, np.arange(t_max)[:, None] < lens, ef, starts, ew[starts], gw, g_starts, gf[g_starts]
+
+    def _gradient(self, p, n, t_max, lens, y, mask, ef, starts, cells, gw, g_starts, g_ids):
+        """Observed minus expected counts, by scaled forward and backward passes."""
+        k = len(self.labels)
+        em = np.zeros((t_max * n, k), np.float32)
+        em[cells] = np.add.reduceat(p["w"][ef], starts, axis=0)
+        em = em.reshape(t_max, n, k)
+        e = np.exp(em - em.max(2, keepdims=True)).astype(np.float64)
+        tr, first, final = np.exp(p["t"]), np.exp(p["s"] - p["s"].max()), np.exp(p["e"] - p["e"].max())
+        a, b = np.empty_like(e), np.empty_like(e)
+        a[0] = first * e[0]
+        a[0] /= a[0].sum(1, keepdims=True)
+        for t in range(1, t_max):
+            step = (a[t - 1] @ tr) * e[t]
+            a[t] = np.where(mask[t][:, None], step / step.sum(1, keepdims=True), a[t - 1])
+        b[-1] = final
+        for t in range(t_max - 2, -1, -1):
+            step = (e[t + 1] * b[t + 1]) @ tr.T
+            b[t] = np.where(mask[t + 1][:, None], step / step.sum(1, keepdims=True), final)
+        post = a * b
+        post *= mask[:, :, None] / post.sum(2, keepdims=True)
+        g_em = -post
+        g_em[np.arange(t_max)[:, None], np.arange(n)[None], y] += mask
+        g = {"t": np.zeros((k, k)), "w": np.zeros_like(p["w"])}
+        for t in range(1, t_max):
+            live = mask[t]
+            right = e[t][live] * b[t][live]
+            left = a[t - 1][live]
+            left = left / ((left @ tr) * right).sum(1, keepdims=True)
+            g["t"] -= (left.T @ right) * tr
+            np.add.at(g["t"], (y[t - 1][live], y[t][live]), 1)
+        last, rows = lens - 1, np.arange(n)
+        g["s"] = np.bincount(y[0], minlength=k) - post[0].sum(0)
+        g["e"] = np.bincount(y[last, rows], minlength=k) - post[last, rows].sum(0)
+        g["w"][g_ids] = np.add.reduceat(g_em.reshape(t_max * n, k).astype(np.float32)[gw], g_starts, axis=0)
+        return n, g
 
     def row(self, feats: tuple[str, ...]) -> np.ndarray:
         """Scores of one position for every label; features never seen count nothing."""

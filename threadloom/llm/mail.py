@@ -57,6 +57,7 @@ GREET = re.compile(r"(?i)^(?:" + "|".join(GREETINGS) + r")\b[^.?]{0,40}$")
 ROBOT = re.compile(r"(?i)^(?:" + "|".join(re.escape(" ".join(p.split()[:2])) for p in PROGRAM) + r")\b")
 _CLOSE = set(CLOSINGS)
 _NOTICE = set(NOTICE_WORDS)
+_NOTICE_OPENS = tuple(" ".join(x.lower().split()[:3]) for x in NOTICES)
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -98,6 +99,8 @@ def _shape(line: str) -> tuple[str, ...]:
         out.append("phone")
     if GREET.match(s):
         out.append("greets")
+    if any(s.lower().startswith(x) for x in _NOTICE_OPENS):
+        out.append("notice-opens")
     n = sum(w.lower() in _NOTICE for w in ws)
     if n:
         out.append(f"legal{min(n, 3)}")
@@ -151,6 +154,8 @@ def line_features(text: str, cache: dict[str, tuple[str, ...]] | None = None) ->
         f.append(f"para-legal{min(legal[para[i]], 3)}")
         if "legal1" in first_of[para[i]] or "legal2" in first_of[para[i]] or "legal3" in first_of[para[i]]:
             f.append("para-opens-legal")
+        if "notice-opens" in first_of[para[i]]:
+            f.append("para-notice-opens")
         f.append("gap" if before[i] else "run")
         f.append(f"top{min(i, 3)}")
         f.append(f"tail{min(n - 1 - i, 5)}")
@@ -330,7 +335,7 @@ def training_mails(n: int = TRAIN_MAILS, seed: int = 7) -> list[tuple[str, list[
 
 def fit(n: int = TRAIN_MAILS) -> CRF:
     table = training_mails(n)
-    return CRF(LABELS).fit([line_features(t)[1] for t, _ in table], [g for _, g in table])
+    return CRF(LABELS).fit([line_features(t)[1] for t, _ in table], [g for _, g in table], rounds=200, parts=3)
 
 
 def label_lines(mails: DataFrame, model: CRF | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ def _q(fn: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from threadloom.llm import language, leakage, mail, neardup, overlap, splits, threads
+    from threadloom.llm import language, leakage, mail, neardup, overlap, pii, splits, threads
 
     return {
         "p1_found": _q(splits.related_threads, "turns"),
@@ -28,6 +28,8 @@ def queries() -> dict[str, Query]:
         "p1_report": _q(splits.split_report, "turns", "split_targets"),
         "p3_found": _q(overlap.overlap_pairs, "turns"),
         "p3_report": _q(overlap.overlap_report, "turns"),
+        "p4_found": _q(pii.personal_items, "turns", "contacts", "subjects"),
+        "p4_redacted": _q(pii.redacted, "turns", "contacts", "subjects"),
         "p5_found": _q(neardup.near_duplicate_groups, "turns"),
         "p6_found": _q(mail.foreign_lines, "turns"),
         "p6_new_text": _q(mail.new_text, "turns"),
