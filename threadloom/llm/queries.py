@@ -20,12 +20,14 @@ def _q(fn: Callable[..., DataFrame], *tables: str) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    from threadloom.llm import language, leakage, mail, neardup, overlap, pii, splits, threads
+    from threadloom.llm import language, leakage, mail, mixing, neardup, overlap, packing, pii, splits, threads
 
     return {
         "p1_found": _q(splits.related_threads, "turns"),
         "p1_split": _q(splits.assign_splits, "turns", "split_targets"),
         "p1_report": _q(splits.split_report, "turns", "split_targets"),
+        "p2_mix": _q(mixing.mix, "turns", "mix_targets"),
+        "p2_report": _q(mixing.mix_report, "turns", "mix_targets"),
         "p3_found": _q(overlap.overlap_pairs, "turns"),
         "p3_report": _q(overlap.overlap_report, "turns"),
         "p4_found": _q(pii.personal_items, "turns", "contacts", "subjects"),
@@ -36,6 +38,8 @@ def queries() -> dict[str, Query]:
         "p7_found": lambda spark, d: _q(threads.thread_verdicts, "turns", "envelopes")(spark, d).where("dropped").select("thread_id"),
         "p7_verdicts": _q(threads.thread_verdicts, "turns", "envelopes"),
         "p7_conversations": _q(threads.conversations, "turns", "envelopes"),
+        "p8_pack": _q(packing.pack, "documents", "pack_budgets"),
+        "p8_report": _q(packing.pack_report, "documents", "pack_budgets"),
         "p9_found": lambda spark, d: _q(leakage.leaks, "documents", "fact_probes")(spark, d).select("item_id", "doc_id"),
         "p9_leaks": _q(leakage.leaks, "documents", "fact_probes"),
         "p9_clean": _q(leakage.without_leaks, "documents", "fact_probes"),
