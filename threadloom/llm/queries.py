@@ -49,5 +49,32 @@ def queries() -> dict[str, Query]:
     }
 
 
+# Threads to be dropped, in SQL: messages by (source, source_id), bad payloads, dangling parents, one-sided threads.
+_P7 = r"""
+WITH t AS (SELECT lower(trim(source)) AS source, source_id, thread_id, text, coalesce(is_subject, false) AS subj FROM turns WHERE lower(trim(source)) IN ('imessage', 'claude_ai', 'chatgpt') AND thread_id IS NOT NULL),
+r AS (SELECT lower(trim(source)) AS source, source_id, CASE WHEN json_valid(payload) AND payload LIKE '{%' THEN payload END AS o FROM envelopes WHERE lower(trim(source)) IN ('imessage', 'claude_ai', 'chatgpt')),
+e AS (SELECT source, source_id, o IS NULL AS bad, o ->> '$.text' AS text,
+  CASE source WHEN 'imessage' THEN o ->> '$.chat_guid' WHEN 'claude_ai' THEN o ->> '$.conversation_uuid' ELSE o ->> '$.conversation_id' END AS named,
+  CASE source WHEN 'imessage' THEN o ->> '$.thread_originator' WHEN 'claude_ai' THEN o ->> '$.parent_message_uuid' ELSE o ->> '$.parent' END AS parent,
+  coalesce(CASE source WHEN 'imessage' THEN (o ->> '$.is_from_me') = 'true' WHEN 'claude_ai' THEN (o ->> '$.sender') = 'human' ELSE (o ->> '$.role') = 'user' END, false) AS subj FROM r),
+k AS (SELECT DISTINCT source, source_id, thread_id FROM t),
+m AS (SELECT coalesce(k.thread_id, e.named) AS thread_id, e.source, e.source_id, e.bad, e.text, e.parent, e.subj FROM e LEFT JOIN k USING (source, source_id)
+  UNION ALL SELECT thread_id, source, source_id, false, text, NULL, subj FROM t),
+h AS (SELECT *, length(regexp_replace(coalesce(text, ''), '[\s\p{Z}\p{Cc}\p{Cf}\x{034F}\x{115F}\x{1160}\x{2800}\x{3164}\x{FE00}-\x{FE0F}\x{FFA0}\x{FFFC}]', '', 'g')) > 0 AS says FROM m),
+o AS (SELECT DISTINCT h.thread_id FROM h LEFT JOIN (SELECT DISTINCT thread_id, source, source_id AS parent, true AS there FROM h) p USING (thread_id, source, parent) WHERE coalesce(h.parent, '') <> '' AND p.there IS NULL)
+SELECT h.thread_id FROM h WHERE h.thread_id IN (SELECT thread_id FROM t) GROUP BY h.thread_id
+HAVING bool_or(bad) OR NOT bool_or(subj AND says) OR NOT bool_or(NOT subj AND says) OR h.thread_id IN (SELECT thread_id FROM o)
+"""
+
+# Probes in documents, in SQL: shared windows of twelve words.
+_P9 = r"""
+WITH w AS (SELECT item_id, regexp_extract_all(lower(strip_accents(regexp_replace(question, '\p{Cf}', '', 'g'))), '[\p{L}\p{N}]+') AS l FROM fact_probes),
+d AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(regexp_replace(text, '\p{Cf}', '', 'g'))), '[\p{L}\p{N}]+') AS l FROM documents),
+a AS (SELECT DISTINCT item_id, array_to_string(l[i:i + 11], ' ') AS s FROM (SELECT item_id, l, unnest(range(1, len(l) - 10)) AS i FROM w WHERE len(l) >= 12)),
+b AS (SELECT doc_id, array_to_string(l[i:i + 11], ' ') AS s FROM (SELECT doc_id, l, unnest(range(1, len(l) - 10)) AS i FROM d WHERE len(l) >= 12))
+SELECT DISTINCT item_id, doc_id FROM a JOIN b USING (s)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p7_found": _P7, "p9_found": _P9}
