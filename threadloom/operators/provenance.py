@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from threadloom.session import Stage
 
+LEVELS = 6
+
 
 def ancestors(entries: DataFrame, starts: DataFrame, id_: str = "entry_id", parents: str = "parents", strict: bool = True) -> DataFrame:
     """``(start, entry, depth)`` of every entry reachable over parent links, at its least depth; a start is its own at depth 0.
 
-    ``starts`` has the column ``start``.  Breadth first: each round joins the
-    frontier with the links and drops what was seen, so cycles end.  With
+    ``starts`` has the column ``start``.  Breadth first, ``LEVELS`` steps a
+    job; entries met again keep their least depth, so cycles end.  With
     ``strict`` a start or parent that is no entry is an error, else it is left out.
     """
     known = entries.select(F.col(id_).alias("entry")).distinct()
@@ -22,21 +24,27 @@ def ancestors(entries: DataFrame, starts: DataFrame, id_: str = "entry_id", pare
         if bad := s.join(known, F.col("start") == F.col("entry"), "left_anti").head(1):
             raise KeyError(f"no entry {bad[0][0]}")
     frontier = s.join(known, F.col("start") == F.col("entry")).select("start", "entry", F.lit(0).alias("depth"))
+    if strict and (bad := links.join(known, F.col("parent") == known["entry"], "left_anti").head(1)):
+        raise KeyError(f"dangling parent {bad[0]['parent']}")
+    links = links.join(known.select(F.col("entry").alias("parent")), "parent", "left_semi")
     seen = Stage(frontier, "walk")
     depth = 0
     while True:
-        depth += 1
-        nxt = seen.df.where(F.col("depth") == depth - 1).join(links, "entry").select("start", F.col("parent").alias("entry"), F.lit(depth).alias("depth")).distinct()
-        nxt = nxt.join(seen.df.select("start", "entry"), ["start", "entry"], "left_anti")
-        step = Stage(nxt, "walk")
-        if not step.df.head(1):
-            return seen.df
-        if strict and (bad := step.df.join(known, "entry", "left_anti").head(1)):
-            raise KeyError(f"dangling parent {bad[0]['entry']}")
-        new = Stage(seen.df.unionByName(step.df.join(known, "entry", "left_semi").select("start", "entry", "depth")), "walk")
+        # several levels in one job; entries met again keep their least depth
+        step = seen.df.where(F.col("depth") == depth)
+        found = []
+        for d in range(depth + 1, depth + LEVELS + 1):
+            step = step.select("start", "entry").join(links, "entry").select("start", F.col("parent").alias("entry")).distinct().withColumn("depth", F.lit(d))
+            found.append(step)
+        every = seen.df
+        for f in found:
+            every = every.unionByName(f)
+        new = Stage(every.groupBy("start", "entry").agg(F.min("depth").alias("depth")), "walk")
         seen.drop()
-        step.drop()
         seen = new
+        depth += LEVELS
+        if not seen.df.where(F.col("depth") == depth).head(1):
+            return seen.df
 
 
 def live_branch(conversations: DataFrame) -> DataFrame:
