@@ -92,7 +92,7 @@ def leak_lint(spark: SparkSession, root: str, needles: list[str], allow: tuple[s
     f = f.withColumn("rel", rel).where(F.col("rel").rlike("(" + "|".join(re.escape(s) for s in TEXT_SUFFIXES) + ")$"))
     parts = F.split("rel", "/")
     f = f.where(~F.arrays_overlap(parts, F.array(*map(F.lit, SKIP_DIRS))) & ~parts[0].isin(*allow))
-    lines = f.select(F.col("rel").alias("path"), F.posexplode(F.split(F.decode("content", F.lit("UTF-8")), "\r\n|\n|\r")).alias("i", "line"))
+    lines = f.select(F.col("rel").alias("path"), F.posexplode(F.split(F.decode("content", "UTF-8"), "\r\n|\n|\r")).alias("i", "line"))
     hit = F.lit(False)
     for n in low:
         hit = hit | F.lower("line").contains(n)
