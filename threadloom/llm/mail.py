@@ -147,6 +147,11 @@ def line_features(text: str, cache: dict[str, tuple[str, ...]] | None = None) ->
         s = shapes[i]
         prev = shapes[i - 1] if i else ("start",)
         nxt = shapes[i + 1] if i + 1 < n else ("end",)
+        if s == ("quote",):
+            # a quote mark says more than what stands around it
+            out.append(("own:quote", "by-quote" if "quote" in prev or "quote" in nxt else "lone-quote"))
+            since += 1
+            continue
         f = ["own:" + x for x in s]
         f += ["prev:" + x for x in prev] + ["next:" + x for x in nxt]
         f += [a + "+" + b for a in s for b in prev if b in ("rule", "closing", "banner", "field", "wrote", "start", "quote", "address-end", "opens") and not a.startswith("w")]
@@ -266,11 +271,15 @@ def training_mails(n: int = TRAIN_MAILS, seed: int = 7) -> list[tuple[str, list[
             gap()
         inline = r.random() < 0.25
         if inline:
-            add(head(), "head")
-            for _ in range(r.randint(1, 3)):
-                add(quoted(width or 70), "marked")
+            if r.random() < 0.5:
+                add(head(), "head")
+            else:
+                add(para(1, 2, width), "new")
                 gap(0.9)
-                add(para(1, 4, width), "new")
+            for _ in range(r.randint(1, 3)):
+                add(quoted(width or 70) if r.random() < 0.7 else ["> " + " ".join(sentence().split()[: r.randint(2, 7)])], "marked")
+                gap(0.8)
+                add(para(1, 4, width) if r.random() < 0.7 else [" ".join(sentence().split()[: r.randint(1, 5)])], "new")
                 gap(0.9)
         else:
             for _ in range(r.randint(1, 3)):
