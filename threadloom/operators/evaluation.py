@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadloom.functions.text import collapse_space, dedupe_key, jaccard, letter_tokens, question_shape, trim_u, wilson
+from threadloom.session import collect_bounded
 
 ENTITY_FLOOR, ANSWERABLE_FLOOR, PER_SHAPE = 5, 5, 3
 MIN_CHARS, MAX_CHARS, PER_CATEGORY = 80, 600, 40
@@ -265,11 +266,13 @@ def similarity(a: Column, b: Column) -> Column:
 def claim_recurrence(first: DataFrame, second: DataFrame, least: float = 0.6) -> DataFrame:
     """Claims of one run with the best ratio to any of another run, and whether they recur.
 
-    Runs are short lists read from one report each; lengths bound the ratio, so
-    pairs whose lengths alone rule it out are never compared.
+    The second run is a short list read from one report (more than 100,000 claims
+    are an error); lengths bound the ratio, so pairs whose lengths alone rule it out
+    are never compared.
     """
-    b = second.select(F.col("text").alias("other"))
+    rows = [(r[0],) for r in collect_bounded(second.select("text").distinct(), 100_000)]
+    b = first.sparkSession.createDataFrame(rows, "other string")
     la, lb = F.length("text"), F.length("other")
-    j = first.join(F.broadcast(b.limit(100_000)), 2.0 * F.least(la, lb) >= F.lit(least) * (la + lb), "left")
+    j = first.join(F.broadcast(b), 2.0 * F.least(la, lb) >= F.lit(least) * (la + lb), "left")
     j = j.withColumn("ratio", F.coalesce(similarity(F.coalesce("text", F.lit("")), F.coalesce("other", F.lit(""))), F.lit(0.0)))
     return j.groupBy("claim_id", "text").agg(F.max(F.when(F.col("other").isNull(), 0.0).otherwise(F.col("ratio"))).alias("best")).withColumn("recurs", F.col("best") >= least)

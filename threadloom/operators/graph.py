@@ -15,11 +15,18 @@ from pyspark.sql import functions as F
 
 from threadloom.session import Stage
 
+#: Nodes that one task keeps in memory before it hands on what it has.
+FOREST = 1_000_000
+
 
 def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Reduce the edges of one partition to a spanning forest of stars."""
+    """Reduce the edges of one partition to spanning forests of stars, ``FOREST`` nodes at a time."""
     parent: dict = {}
 
+    def stars():
+        out = [(x, r) for x in parent if (r := root(x)) != x]
+        return pd.DataFrame(out, columns=["src", "dst"]) if out else None
+
     def root(x):
         r = x
         while parent.get(r, r) != r:
@@ -35,11 +42,12 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 lo, hi = (ra, rb) if ra < rb else (rb, ra)
                 parent[hi] = lo
                 parent.setdefault(lo, lo)
-    if parent:
-        out = [(x, root(x)) for x in parent]
-        out = [(x, r) for x, r in out if x != r]
-        if out:
-            yield pd.DataFrame(out, columns=["src", "dst"])
+        if len(parent) > FOREST:
+            if (out := stars()) is not None:
+                yield out
+            parent.clear()
+    if (out := stars()) is not None:
+        yield out
 
 
 def _stars(e: DataFrame) -> bool:

@@ -12,7 +12,7 @@ from threadloom.operators import evaluation as ev
 from threadloom.operators import provenance, style
 from threadloom.operators import turns as ops
 from threadloom.plans import corpus
-from threadloom.session import ship_package, table
+from threadloom.session import collect_bounded, ship_package, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,7 +222,7 @@ def redact_documents(t):
 
 def _needles(t) -> list[str]:
     out = []
-    for r in t("subjects").limit(1000).collect():
+    for r in collect_bounded(t("subjects"), 10_000):
         out += [r["display_name"], *(r["aliases"] or [])]
     return [x for x in out if x]
 

@@ -70,6 +70,14 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     return Stage(df, tag).df
 
 
+def collect_bounded(df: DataFrame, most: int) -> list:
+    """Rows of a table that is small by its nature; more than ``most`` is an error, never a cut."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a table meant to be small has more than {most} rows")
+    return rows
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to executors that cannot import it from their own path."""
     app = spark.sparkContext.applicationId
