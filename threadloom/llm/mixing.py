@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.session import collect_bounded
+
 UNIT = 1 << 52
 
 
@@ -37,8 +39,8 @@ def rates(available: dict[str, int], targets: dict[str, tuple[float, int]]) -> d
 
 def _targets(targets: DataFrame) -> dict[str, tuple[float, int]]:
     out: dict[str, tuple[float, int]] = {}
-    rows = targets.where("source is not null").select(_source(F.col("source")).alias("s"), "target_share", "max_repeats").limit(100_000)
-    for r in rows.collect():
+    rows = targets.where("source is not null").select(_source(F.col("source")).alias("s"), "target_share", "max_repeats")
+    for r in collect_bounded(rows, 100_000):
         p, k = out.get(r["s"], (0.0, 0))
         out[r["s"]] = (p + float(r["target_share"] or 0), max(k, int(r["max_repeats"] or 0)))
     return out

@@ -29,6 +29,7 @@ JACCARD = 0.7
 #: Differing bits allowed of 128: at Jaccard 0.7 the mean is 19.2 and the deviation 4.0, so one pair in 10,000 exceeds it.
 BUDGET = 36
 BLOCK = 4096
+ROWS_PER_TASK = 200_000
 #: A side of ids up to this many rows (16 bytes each) is broadcast; a longer one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -66,9 +67,12 @@ class Blocks:
     def blocks(self, rows: DataFrame) -> DataFrame:
         """Rows of the kept keys with the block each belongs to; a large block becomes the pairs of its chunks."""
         rows = rows.join(small(self.keys.df, self.n_keys), "key", "left_semi")
-        big = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-        big = big.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("c"))
-        rows = rows.join(F.broadcast(big), "key", "left")  # at most rows / BLOCK keys are that large
+        big = self.features.df.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+        big = Stage(big.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("c")), "big")
+        n_big = big.df.count()
+        if not n_big:
+            return rows.withColumn("block", F.col("key")).withColumn("half", F.lit(-1)).repartition(self.tasks(), "block")
+        rows = rows.join(small(big.df, n_big), "key", "left")
         chunk = F.when(F.col("c").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("cls"), F.col("c")).cast("int"))
         rows = rows.withColumn("chunk", chunk)
         pairs = F.when(F.col("c").isNull(), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))).otherwise(
@@ -77,7 +81,11 @@ class Blocks:
         rows = rows.withColumn("p", F.explode(pairs))
         home = F.xxhash64("key", "p.i", "p.j")
         half = F.when(F.col("p.i") == F.col("p.j"), F.lit(-1)).otherwise(F.when(F.col("chunk") == F.col("p.i"), 0).otherwise(1))
-        return rows.withColumn("block", home).withColumn("half", half.cast("int")).drop("c", "chunk", "p")
+        return rows.withColumn("block", home).withColumn("half", half.cast("int")).drop("c", "chunk", "p").repartition(self.tasks(), "block")
+
+    def tasks(self) -> int:
+        """Tasks for whole blocks: some 200,000 anchors each, and no fewer than there are cores."""
+        return max(self.features.spark.sparkContext.defaultParallelism, -(-self.features.df.count() // ROWS_PER_TASK))
 
     def verified(self, pairs: DataFrame, least: float = JACCARD) -> DataFrame:
         """Pairs (a, b, ...) of classes whose distinct words have at least that Jaccard similarity."""

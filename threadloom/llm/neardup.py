@@ -23,7 +23,7 @@ def near_duplicate_groups(turns: DataFrame) -> DataFrame:
     t = turns.select(F.col("turn_id").cast("bigint").alias("turn_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("side"))
     b = Blocks(t, cross=False)
     rows = b.blocks(b.features.df.select("key", "cls", "s0", "s1"))
-    cand = Stage(rows.repartition("block").mapInArrow(trie_pairs, "a bigint, b bigint").distinct(), "candidates")
+    cand = Stage(rows.mapInArrow(trie_pairs, "a bigint, b bigint").distinct(), "candidates")
     edges = Stage(b.verified(cand.df).select("a", "b"), "edges")
     comp = connected_components(edges.df, "a", "b").withColumnRenamed("node", "cls")
     member = b.sketch.df.select("turn_id", "cls")

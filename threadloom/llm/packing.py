@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.words import WORD, Hasher, class_ids
-from threadloom.session import Stage
+from threadloom.session import Stage, collect_bounded
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pattern that cuts text into pieces for this byte-level vocabulary.
@@ -127,11 +127,12 @@ def pack(documents: DataFrame, budgets: DataFrame, tokenizer: str = TOKENIZER) -
     over shards by hash and packed in each by ``best_fit``.
     """
     caps = budgets.where("capacity_tokens > 0 and budget_name is not null").distinct()
+    caps = documents.sparkSession.createDataFrame([tuple(r) for r in collect_bounded(caps.select("budget_name", F.col("capacity_tokens").cast("bigint")), 10_000)], "budget_name string, capacity_tokens bigint")
     d = Stage(sizes(documents, tokenizer), "sizes").df
     n = d.count()
     shards = max(1, math.ceil(n / SHARD))
     d = d.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    items = d.join(F.broadcast(caps.limit(10_000)), F.col("n_tokens") >= 0)
+    items = d.join(F.broadcast(caps), F.col("n_tokens") >= 0)
     cap = F.col("capacity_tokens")
     whole = F.floor(F.greatest(F.col("n_tokens") - 1, F.lit(0)) / cap)
     base = F.concat_ws("-", "budget_name", cap.cast("string"))

@@ -62,8 +62,8 @@ def class_ids(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def window_of(n: np.ndarray) -> np.ndarray:
-    """Window by length: texts under 48 words keep every shingle, long ones about forty."""
-    return np.clip(n // 24, 1, 64)
+    """Window by length: texts under 64 words keep every shingle, long ones about fifty."""
+    return np.clip(n // 32, 1, 64)
 
 
 def anchors(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
