@@ -30,7 +30,9 @@ def get_session(app: str = "threadloom", cpus: str | int = "*", **conf: str) ->
     )
     for k, v in conf.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,9 +83,10 @@ def collect_bounded(df: DataFrame, most: int) -> list:
 def ship_package(spark: SparkSession) -> None:
     """Send this package to executors that cannot import it from their own path."""
     app = spark.sparkContext.applicationId
-    if _LOCAL.get("shipped") == app or spark.sparkContext.master.startswith("local["):
+    if _LOCAL.get("shipped") == app:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    base = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="threadloom-zip-"), "threadloom"), "zip", os.path.dirname(root), "threadloom")
-    spark.sparkContext.addPyFile(base)
+    folder = tempfile.mkdtemp(prefix="threadloom-zip-")
+    atexit.register(shutil.rmtree, folder, True)
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "threadloom"), "zip", os.path.dirname(root), "threadloom"))
     _LOCAL["shipped"] = app
