@@ -206,6 +206,22 @@ class Segmenter:
                 total = (sums[b] - sums[a]) / max(1.0, np.sqrt(b - a))
                 p = np.exp(total - total.max())
                 out[i].append((int(s[a]), int(a), int(b), round(float(p[s[a]] / p.sum()), 4)))
+            out[i] = _absorbed(out[i])
+
+
+def _absorbed(cut: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+    """Headings and other pieces under ``ANY`` words go to the language on both sides of them, or before the first stretch to that."""
+    out: list[tuple[int, int, int, float]] = []
+    for x in cut:
+        if out and out[-1][2] - out[-1][1] < ANY and x[2] - x[1] >= ANY and (len(out) == 1 or out[-2][0] == x[0]):
+            low = out.pop()
+            x = (x[0], low[1], x[2], x[3])
+        if out and out[-1][0] == x[0]:
+            last = out.pop()
+            n, m = last[2] - last[1], x[2] - x[1]
+            x = (x[0], last[1], x[2], round((last[3] * n + x[3] * m) / (n + m), 4))
+        out.append(x)
+    return out
 
 
 def fit(documents: DataFrame, per_language: int = TRAIN_DOCS) -> KneserNey:
