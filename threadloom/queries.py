@@ -153,7 +153,14 @@ def payload_threads(t):
     return e.groupBy(p["chat_guid"].alias("chat_guid")).agg(F.count("*").alias("n"))
 
 
-@query()
+_NORMAL = """
+WITH d AS (SELECT subject_id, lower(trim(source)) AS source, source_id, CASE WHEN json_valid(payload) AND payload LIKE '{%' THEN payload END AS o FROM envelopes QUALIFY row_number() OVER (PARTITION BY subject_id, source, source_id ORDER BY ingested_at, ts, payload) = 1),
+x AS (SELECT *, trim(o ->> '$.text', ' ' || chr(9) || chr(10) || chr(13) || chr(160)) AS text, CASE source WHEN 'imessage' THEN o ->> '$.chat_guid' WHEN 'claude_ai' THEN o ->> '$.conversation_uuid' ELSE o ->> '$.conversation_id' END AS k, source <> 'imessage' OR (o ->> '$.is_from_me') = 'true' AS mine FROM d)
+SELECT source, source_id, CASE WHEN coalesce(trim(k), '') IN ('', 'unknown') THEN source || ':orphan:' || source_id ELSE k END AS thread_id, CASE WHEN mine THEN subject_id ELSE coalesce(o ->> '$.handle', 'unknown') END AS author_id, mine AS is_subject, text FROM x WHERE coalesce(text, '') <> ''
+"""
+
+
+@query(_NORMAL)
 def normalized_turns(t):
     """Envelopes through the normalizer registry; damaged payloads have no text and are dropped."""
     return ops.normalize(ops.vault_dedupe(t("envelopes"))).select("source", "source_id", "thread_id", "author_id", "is_subject", "text")
@@ -236,7 +243,12 @@ def identity_scrub(t):
     return d.select("turn_id", scrub.scrub_identity(F.col("text"), n, "The Author").alias("scrubbed"))
 
 
-@query()
+def _blob(x: int) -> str:
+    """The key block of the keyed hash as a literal."""
+    return "'" + "".join(f"\\x{b ^ x:02X}" for b in KEY.ljust(64, b"\0")) + "'::BLOB"
+
+
+@query(f"SELECT DISTINCT author_id, is_subject, CASE WHEN is_subject THEN author_id ELSE 'P-' || substr(sha256({_blob(0x5C)} || unhex(sha256({_blob(0x36)} || encode(author_id)))), 1, 12) END AS author_out FROM turns WHERE author_id IS NOT NULL")
 def pseudonymize(t):
     d = t("turns").where("author_id is not null").select("author_id", "is_subject").distinct()
     return scrub.pseudonymize(d, KEY).select("author_id", "is_subject", "author_out")
@@ -259,7 +271,10 @@ def mail_addresses(t):
     return d.select("turn_id", F.lower(F.regexp_extract("thread_id", r"([^<>\s]+@[^<>\s]+)", 1)).alias("address"))
 
 
-@query()
+@query(r"""
+WITH m AS (SELECT turn_id, regexp_replace(regexp_replace(text, '(?ms)^On [^\n]*wrote:\s*$.*', ''), '(?ms)^--\s*$.*', '') AS b FROM turns WHERE lower(trim(source)) = 'mail' AND text IS NOT NULL)
+SELECT turn_id, regexp_replace(regexp_replace(array_to_string(list_filter(string_split(b, chr(10)), lambda x: NOT starts_with(ltrim(x, ' '), '>')), chr(10)), '^[\s\x0B\x{0085}\x{00A0}]+', ''), '[\s\x0B\x{0085}\x{00A0}]+$', '') AS body FROM m
+""".replace("\\\\", "\\"))
 def strip_quoted(t):
     """Mail bodies by the simple rule: up to the first attribution or separator, without quoted lines."""
     d = t("turns").where((text.source_key(F.col("source")) == "mail") & F.col("text").isNotNull())
@@ -388,7 +403,16 @@ def probe_composition(t):
     return _rounded(ev.fact_composition(t("fact_probes")).drop("top_shape"), ("share", "top_shape_share"))
 
 
-@query()
+_GATES = f"""
+WITH s AS (SELECT count(*) AS k FROM fact_probes GROUP BY {_SHAPE}),
+a AS (SELECT count(*) AS n, count(*) FILTER (NOT answerable) / count(*) AS share, (SELECT max(k) FROM s) / count(*) AS top FROM fact_probes),
+g AS (SELECT 'facts' AS gate, n, round(share, 9) AS share, CASE WHEN n < 200 THEN 'too few probes' WHEN share NOT BETWEEN 0.4 AND 0.6 THEN 'share of unanswerable probes out of range' WHEN top > 0.15 THEN 'one question shape too common' ELSE '' END AS note FROM a
+  UNION ALL SELECT 'refusals', n, round(share, 9), CASE WHEN n < 60 THEN 'too few probes' WHEN share NOT BETWEEN 0.4 AND 0.6 THEN 'share of declining probes out of range' ELSE '' END FROM a)
+SELECT gate, n, share, note, note = '' AS passed FROM g
+"""
+
+
+@query(_GATES)
 def probe_gates(t):
     p = t("fact_probes")
     a = ev.fact_gate(p).select(F.lit("facts").alias("gate"), "n", F.round("share", 9).alias("share"), "note", "passed")
@@ -476,7 +500,13 @@ def event_profile(t):
     return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("n_users"), F.round(F.avg("value"), 6).alias("mean_value"))
 
 
-@query()
+@query("""
+WITH RECURSIVE d AS (SELECT source_id, ts, payload FROM envelopes WHERE lower(trim(source)) = 'chatgpt' AND json_valid(payload) AND payload LIKE '{%' QUALIFY row_number() OVER (PARTITION BY subject_id, source, source_id ORDER BY ingested_at, ts, payload) = 1),
+n AS (SELECT payload ->> '$.conversation_id' AS c, source_id AS id, payload ->> '$.parent' AS parent, ts FROM d WHERE payload ->> '$.conversation_id' IS NOT NULL),
+w AS (SELECT c, id, parent, [id] AS path FROM n QUALIFY row_number() OVER (PARTITION BY c ORDER BY ts DESC, id DESC) = 1
+  UNION ALL SELECT n.c, n.id, n.parent, [n.id] || w.path FROM w JOIN n ON n.c = w.c AND n.id = w.parent WHERE NOT list_contains(w.path, n.id))
+SELECT c AS conversation_id, max(len(path))::BIGINT AS n_nodes, array_to_string(max_by(path, len(path)), ',') AS branch FROM w GROUP BY c
+""")
 def live_branches(t):
     """Conversations of the DAG source as maps, walked from their newest message to the root; payloads that are no objects have no node."""
     e = ops.vault_dedupe(t("envelopes").where(text.source_key(F.col("source")) == "chatgpt"))
