@@ -91,6 +91,17 @@ def test_hot_block_is_cut_into_chunks(make_turns, prose, monkeypatch):
     assert {tuple(r) for r in overlap.overlap_pairs(d).collect()} == want
 
 
+def test_without_broadcasts(make_turns, prose, monkeypatch):
+    from threadloom.llm import near as N
+
+    monkeypatch.setattr(N, "BROADCAST_ROWS", -1)
+    rows = [prose.text(40) for _ in range(10)]
+    rows += [prose.edit(t, 2) for t in rows]
+    d = make_turns([{"text": t, "eval_split": "train" if i < 10 else "heldout"} for i, t in enumerate(rows)])
+    assert {tuple(r) for r in neardup.near_duplicate_groups(d).collect()} == groups(list(enumerate(rows, 1)))
+    assert {tuple(r) for r in overlap.overlap_pairs(d).collect()} == {(i + 1, j + 1) for i in range(10) for j in range(10, 20) if near(rows[i], rows[j])}
+
+
 def test_long_runs_use_the_trie(make_turns, prose, monkeypatch):
     monkeypatch.setattr(overlap, "RUN", 3)
     base = prose.text(40)

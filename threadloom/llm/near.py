@@ -2,8 +2,9 @@
 
 1. Every text with enough distinct words gets its class and its anchors
    (``words.sketch``), written once.
-2. A key is kept if two classes hold it: a map-side combined minimum and maximum
-   per key, so a key that a third of all rows hold costs one row per partition.
+2. A key is kept if two classes hold it, for (3) classes of both sides: a map-side
+   combined minimum and maximum per key, so a key that a third of all rows hold
+   costs one row per partition.
 3. The text of one representative per class that holds a kept key is read again
    for suffix ranks, signature and distinct words (``words.features``).
 4. The blocks of equal keys go to the join of the problem: a binary trie join
@@ -35,8 +36,8 @@ BROADCAST_ROWS = 1_000_000
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for a side whose counted rows are within the bound."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """Broadcast hint for a side whose counted rows are within the bound, else a hash join by shuffle, which spares sorting the large side."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("shuffle_hash")
 
 
 class Blocks:
@@ -46,12 +47,13 @@ class Blocks:
         self.sketch = Stage(turns.select("turn_id", "text", "side").mapInArrow(W.sketch, W.SKETCH), "sketch")
         sk = self.sketch.df
         each = sk.select("cls", "side", F.explode("keys").alias("key"))
-        agg = [F.min("cls").alias("lo"), F.max("cls").alias("hi")]
-        keep = F.col("lo") != F.col("hi")
+        low = each.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
+        self.keys = Stage(low.where("lo <> hi").select("key"), "keys")
         if cross:
-            agg += [F.min("side").alias("s_lo"), F.max("side").alias("s_hi")]
-            keep &= F.col("s_lo") != F.col("s_hi")
-        self.keys = Stage(each.groupBy("key").agg(*agg).where(keep).select("key"), "keys")
+            wide = self.keys
+            sides = each.join(small(wide.df, wide.df.count()), "key", "left_semi").groupBy("key").agg(F.min("side").alias("lo"), F.max("side").alias("hi"))
+            self.keys = Stage(sides.where("lo <> hi").select("key"), "keys")
+            wide.drop()
         n = self.keys.df.count()
         rep = sk.groupBy("cls").agg(F.min("turn_id").alias("turn_id"))
         held = each.join(small(self.keys.df, n), "key", "left_semi").select("cls").distinct()
