@@ -48,7 +48,12 @@ def test_trie_join_is_exact():
         got = sorted(tuple(sorted((int(a), int(b)))) for i, j in trie_join(block, s[:, 0], s[:, 1], 30, p) for a, b in zip(i, j))
         want = sorted((i, j) for i, j in itertools.combinations(range(n), 2) if block[i] == block[j] and pop(i, j) <= 30 and (p is None or p[i] != p[j]))
         assert got == want
-    assert list(trie_join(block[:0], s[:0, 0], s[:0, 1], 3)) == []
+    comp, left, right = r.integers(0, 5, n), r.integers(0, 2, n), r.integers(0, 2, n)
+    got = sorted(tuple(sorted((int(a), int(b)))) for i, j in trie_join(block, s[:, 0], s[:, 1], 30, None, comp, left, right) for a, b in zip(i, j))
+    assert got == sorted((i, j) for i, j in itertools.combinations(range(n), 2) if block[i] == block[j] and pop(i, j) <= 30 and comp[i] != comp[j] and (left[i] & right[j] or right[i] & left[j]))
+    same = np.zeros(n, np.int64)
+    assert list(trie_join(block, s[:, 0], s[:, 1], 128, None, same)) == []
+    assert list(trie_join(block[:0], s[:0, 0], s[:0, 1], 3, None, same[:0])) == []
 
 
 def test_anchors_are_shared_by_common_runs():
@@ -91,6 +96,16 @@ def test_hot_block_is_cut_into_chunks(make_turns, prose, monkeypatch):
     assert {tuple(r) for r in overlap.overlap_pairs(d).collect()} == want
 
 
+def test_hot_group_is_linked_by_stars(make_turns, prose, monkeypatch):
+    from threadloom.llm import near as N
+
+    monkeypatch.setattr(N, "STAR", 3)
+    base = prose.text(40)
+    rows = [prose.edit(base, k % 9) for k in range(30)] + [" ".join(base.split()[:10]) + " " + prose.text(30) for _ in range(6)]
+    d = make_turns([{"text": t} for t in rows])
+    assert {tuple(r) for r in neardup.near_duplicate_groups(d).collect()} == groups(list(enumerate(rows, 1)))
+
+
 def test_without_broadcasts(make_turns, prose, monkeypatch):
     from threadloom.llm import near as N
 

@@ -30,6 +30,7 @@ JACCARD = 0.7
 #: Differing bits allowed of 128: at Jaccard 0.7 the mean is 19.2 and the deviation 4.0, so one pair in 10,000 exceeds it.
 BUDGET = 36
 BLOCK = 4096
+STAR = 32
 ROWS_PER_TASK = 200_000
 #: A side of ids up to this many rows (16 bytes each) is broadcast; a longer one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -85,6 +86,17 @@ class Blocks:
         half = F.when(F.col("p.i") == F.col("p.j"), F.lit(-1)).otherwise(F.when(F.col("chunk") == F.col("p.i"), 0).otherwise(1))
         return rows.withColumn("block", home).withColumn("half", half.cast("int")).drop("c", "chunk", "p").repartition(self.tasks(), "block")
 
+    def distinct_blocks(self, rows: DataFrame) -> DataFrame:
+        """One of the keys that the very same classes hold stands for all of them."""
+        k = rows.select("key", "cls").distinct().groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark")).where("n > 1")
+        return rows.join(k.groupBy("n", "mark").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
+
+    def stars(self, rows: DataFrame) -> DataFrame:
+        """Checked edges from the classes of each large block to its smallest class: at most one per row, so a hot group is linked without its pairs."""
+        low = rows.groupBy("key").agg(F.min("cls").alias("a"), F.count("*").alias("n")).where(F.col("n") > STAR).select("key", "a")
+        pairs = Stage(rows.join(low, "key").where("a <> cls").select("a", F.col("cls").alias("b")).distinct(), "stars")
+        return Stage(self.verified(pairs.df).select("a", "b"), "stars").df
+
     def tasks(self) -> int:
         """Tasks for whole blocks: some 200,000 anchors each, and no fewer than there are cores."""
         return max(self.features.spark.sparkContext.defaultParallelism, -(-self.features.df.count() // ROWS_PER_TASK))
@@ -117,16 +129,16 @@ def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def trie_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a, b) of classes, a < b, from whole blocks by the trie self-join."""
-    got = _whole(batches, "block", "half", "cls", "s0", "s1")
+    """Candidate pairs (a, b), a < b, of classes of different components, from whole blocks by the trie self-join."""
+    got = _whole(batches, "block", "half", "cls", "s0", "s1", "comp")
     if got is None:
         return
-    block, half, cls, s0, s1 = got
+    block, half, cls, s0, s1, comp = got
     out_a, out_b = [], []
     for own in (half < 0, half >= 0):
         idx = np.flatnonzero(own)
         if idx.size:
-            for i, j in trie_join(block[idx], s0[idx], s1[idx], BUDGET, None if half[idx[0]] < 0 else half[idx]):
+            for i, j in trie_join(block[idx], s0[idx], s1[idx], BUDGET, None if half[idx[0]] < 0 else half[idx], comp[idx]):
                 a, b = _unique_pairs(cls[idx[i]], cls[idx[j]])
                 out_a.append(a)
                 out_b.append(b)

@@ -16,15 +16,22 @@ def near_duplicate_groups(turns: DataFrame) -> DataFrame:
     Two turns are near if both have at least 24 distinct words and the Jaccard
     similarity of these is at least 0.7.  Candidates come from a binary trie
     self-join of one-bit minhash signatures within blocks of shared word runs;
-    each is checked on its words.  Null, empty and short texts are in no group;
+    each is checked on its words.  Classes of a large block are first linked to one
+    of it, and node pairs whose leaves are linked already are not descended.  Null, empty and short texts are in no group;
     an empty table gives no rows; copies are one class and never paired.
     ``group_id`` is the smallest ``turn_id`` of the group.  Other columns are ignored.
     """
     t = turns.select(F.col("turn_id").cast("bigint").alias("turn_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("side"))
     b = Blocks(t, cross=False)
-    rows = b.blocks(b.features.df.select("key", "cls", "s0", "s1"))
-    cand = Stage(rows.mapInArrow(trie_pairs, "a bigint, b bigint").distinct(), "candidates")
-    edges = Stage(b.verified(cand.df).select("a", "b"), "edges")
+    rows = Stage(b.distinct_blocks(b.features.df.select("key", "cls", "s0", "s1")), "rows").df
+    stars = b.stars(rows)
+    if stars.head(1):
+        linked = connected_components(stars, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+        rows = rows.join(linked, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    else:
+        rows = rows.withColumn("comp", F.col("cls"))
+    cand = Stage(b.blocks(rows).mapInArrow(trie_pairs, "a bigint, b bigint").distinct(), "candidates")
+    edges = Stage(b.verified(cand.df).select("a", "b").unionByName(stars), "edges")
     comp = connected_components(edges.df, "a", "b").withColumnRenamed("node", "cls")
     member = b.sketch.df.select("turn_id", "cls")
     classes = member.groupBy("cls").agg(F.min("turn_id").alias("low"), F.count("*").alias("n"))
