@@ -61,15 +61,18 @@ class Blocks:
         self.reps = Stage(rep.join(held, "cls", "left_semi"), "reps")
         m = self.reps.df.count()
         text = turns.select("turn_id", "text").join(small(self.reps.df, m), "turn_id").select("cls", "text")
-        self.features = Stage(text.mapInArrow(W.features, W.FEATURES), "features")
+        self.features = Stage(text.mapInArrow(W.features if cross else W.plain_features, W.FEATURES), "features")
         self.n_keys, self.n_reps = n, m
 
     def words(self) -> DataFrame:
         return self.features.df.where(F.size("words") > 0).select("cls", "words")
 
+    def kept(self, *columns: str) -> DataFrame:
+        """Anchors of the representatives under the kept keys."""
+        return self.features.df.select("key", "cls", *columns).join(small(self.keys.df, self.n_keys), "key", "left_semi")
+
     def blocks(self, rows: DataFrame) -> DataFrame:
-        """Rows of the kept keys with the block each belongs to; a large block becomes the pairs of its chunks."""
-        rows = rows.join(small(self.keys.df, self.n_keys), "key", "left_semi")
+        """Anchors with the block each belongs to; a large block becomes the pairs of its chunks."""
         big = self.features.df.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
         big = Stage(big.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("c")), "big")
         n_big = big.df.count()
@@ -88,14 +91,16 @@ class Blocks:
 
     def distinct_blocks(self, rows: DataFrame) -> DataFrame:
         """One of the keys that the very same classes hold stands for all of them."""
-        k = rows.select("key", "cls").distinct().groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark")).where("n > 1")
+        k = rows.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark")).where("n > 1")
         return rows.join(k.groupBy("n", "mark").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
 
     def stars(self, rows: DataFrame) -> DataFrame:
         """Checked edges from the classes of each large block to its smallest class: at most one per row, so a hot group is linked without its pairs."""
         low = rows.groupBy("key").agg(F.min("cls").alias("a"), F.count("*").alias("n")).where(F.col("n") > STAR).select("key", "a")
         pairs = Stage(rows.join(low, "key").where("a <> cls").select("a", F.col("cls").alias("b")).distinct(), "stars")
-        return Stage(self.verified(pairs.df).select("a", "b"), "stars").df
+        out = Stage(self.verified(pairs.df).select("a", "b"), "stars").df
+        pairs.drop()
+        return out
 
     def tasks(self) -> int:
         """Tasks for whole blocks: some 200,000 anchors each, and no fewer than there are cores."""
@@ -110,7 +115,8 @@ class Blocks:
         return p.where(F.col("common") >= F.col("n_union") * F.lit(least) - 1e-9).withColumn("jaccard", F.col("common") / F.col("n_union")).drop("wa", "wb")
 
     def drop(self) -> None:
-        for s in (self.keys, self.reps, self.features, self.sketch):
+        """Remove what only the search needed; the sketch, with every text's class, stays."""
+        for s in (self.keys, self.reps, self.features):
             s.drop()
 
 

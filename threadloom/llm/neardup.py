@@ -23,7 +23,8 @@ def near_duplicate_groups(turns: DataFrame) -> DataFrame:
     """
     t = turns.select(F.col("turn_id").cast("bigint").alias("turn_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("side"))
     b = Blocks(t, cross=False)
-    rows = Stage(b.distinct_blocks(b.features.df.select("key", "cls", "s0", "s1")), "rows").df
+    kept = Stage(b.distinct_blocks(b.kept("s0", "s1")), "rows")
+    rows = kept.df
     stars = b.stars(rows)
     if stars.head(1):
         linked = connected_components(stars, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
@@ -32,6 +33,8 @@ def near_duplicate_groups(turns: DataFrame) -> DataFrame:
         rows = rows.withColumn("comp", F.col("cls"))
     cand = Stage(b.blocks(rows).mapInArrow(trie_pairs, "a bigint, b bigint").distinct(), "candidates")
     edges = Stage(b.verified(cand.df).select("a", "b").unionByName(stars), "edges")
+    for s in (kept, cand, b):
+        s.drop()
     comp = connected_components(edges.df, "a", "b").withColumnRenamed("node", "cls")
     member = b.sketch.df.select("turn_id", "cls")
     classes = member.groupBy("cls").agg(F.min("turn_id").alias("low"), F.count("*").alias("n"))

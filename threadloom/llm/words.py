@@ -148,7 +148,12 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SKETCH = "turn_id bigint, side int, cls bigint, keys array<bigint>"
 
 
-def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def plain_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``features`` without suffix ranks, which are 0."""
+    return features(batches, ())
+
+
+def features(batches: Iterator[pa.RecordBatch], lengths: tuple[int, ...] = (16, 32, 64)) -> Iterator[pa.RecordBatch]:
     """(cls, text) to one row per anchor with the suffix ranks from there, the signature and, on its first row, the distinct words."""
     h = Hasher()
     schema = pa.schema(
@@ -166,7 +171,7 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = st[ti] + ps
         ranks = []
         for n in (16, 32, 64):
-            r = rolled(flat, n)[at]
+            r = rolled(flat, n)[at] if n in lengths else np.zeros(at.size, np.uint64)
             ranks.append(np.where(ps + n <= ln[ti], r, np.uint64(0)).view(np.int64))
         s0, s1 = signatures(uq, us)
         first = np.concatenate(([True], ti[1:] != ti[:-1])) if ti.size else np.empty(0, bool)
