@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +74,7 @@ class Blocks:
 
     def blocks(self, rows: DataFrame) -> DataFrame:
         """Anchors with the block each belongs to; a large block becomes the pairs of its chunks."""
-        big = self.features.df.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+        big = self.sizes().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
         big = Stage(big.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("c")), "big")
         n_big = big.df.count()
         if not n_big:
@@ -102,9 +103,12 @@ class Blocks:
         pairs.drop()
         return out
 
+    def sizes(self) -> DataFrame:
+        return self.features.df
+
     def tasks(self) -> int:
         """Tasks for whole blocks: some 200,000 anchors each, and no fewer than there are cores."""
-        return max(self.features.spark.sparkContext.defaultParallelism, -(-self.features.df.count() // ROWS_PER_TASK))
+        return max(self.features.spark.sparkContext.defaultParallelism, -(-self.sizes().count() // ROWS_PER_TASK))
 
     def verified(self, pairs: DataFrame, least: float = JACCARD) -> DataFrame:
         """Pairs (a, b, ...) of classes whose distinct words have at least that Jaccard similarity."""
@@ -120,6 +124,45 @@ class Blocks:
             s.drop()
 
 
+class Banded(Blocks):
+    """Blocks of classes that share a band of minhashes, whatever the order of their words; the rows have (key, cls, s0, s1, tr, ev).
+
+    A class is ``tr`` if it holds a text of side 0 and ``ev`` if one of side 1, or
+    both where sides are null.  Bands are taken some at a time, so only the rows
+    under shared keys are ever kept together.
+    """
+
+    def __init__(self, turns: DataFrame):
+        self.sketch = Stage(turns.select("turn_id", "text", "side").mapInArrow(W.class_of, W.CLASS_OF), "sketch")
+        flag = lambda c: F.coalesce(c.cast("int"), F.lit(1))
+        rep = self.sketch.df.groupBy("cls").agg(F.min("turn_id").alias("turn_id"), flag(F.min("side") == 0).alias("tr"), flag(F.max("side") == 1).alias("ev"))
+        self.reps = Stage(rep, "reps")
+        text = turns.select("turn_id", "text").join(small(self.reps.df, self.reps.df.count()), "turn_id").select("cls", "tr", "ev", "text")
+        self.features = Stage(text.mapInArrow(W.word_sets, W.WORD_SETS), "features")
+        self.passes = [self._pass(s, min(s + W.BANDS_PER_PASS, W.BANDS)) for s in range(0, W.BANDS, W.BANDS_PER_PASS)]
+        self.rows = reduce(DataFrame.unionByName, [p.df for p in self.passes])
+
+    def _pass(self, first: int, last: int) -> Stage:
+        d = self.features.df
+        each = d.select("cls", "tr", "ev", "words").mapInArrow(W.banded(first, last, "cls", "tr", "ev"), "key bigint, cls bigint, tr int, ev int")
+        low = each.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max("tr").alias("tr"), F.max("ev").alias("ev"))
+        keys = Stage(low.where("lo <> hi and tr = 1 and ev = 1").select("key"), "keys")
+        every = d.mapInArrow(W.banded(first, last, "cls", "s0", "s1", "tr", "ev"), "key bigint, cls bigint, s0 bigint, s1 bigint, tr int, ev int")
+        out = Stage(every.join(small(keys.df, keys.df.count()), "key", "left_semi"), "rows")
+        keys.drop()
+        return out
+
+    def words(self) -> DataFrame:
+        return self.features.df.select("cls", "words")
+
+    def sizes(self) -> DataFrame:
+        return self.rows
+
+    def drop(self) -> None:
+        for s in (self.reps, self.features, *self.passes):
+            s.drop()
+
+
 def _whole(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.ndarray] | None:
     cols: list[list[np.ndarray]] = [[] for _ in names]
     for b in batches:

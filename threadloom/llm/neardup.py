@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.near import Blocks, trie_pairs
+from threadloom.llm.near import Banded, trie_pairs
 from threadloom.operators.graph import connected_components
 from threadloom.session import Stage
 
@@ -15,15 +15,15 @@ def near_duplicate_groups(turns: DataFrame) -> DataFrame:
 
     Two turns are near if both have at least 24 distinct words and the Jaccard
     similarity of these is at least 0.7.  Candidates come from a binary trie
-    self-join of one-bit minhash signatures within blocks of shared word runs;
+    self-join of one-bit minhash signatures within blocks of shared minhash bands;
     each is checked on its words.  Classes of a large block are first linked to one
     of it, and node pairs whose leaves are linked already are not descended.  Null, empty and short texts are in no group;
     an empty table gives no rows; copies are one class and never paired.
     ``group_id`` is the smallest ``turn_id`` of the group.  Other columns are ignored.
     """
     t = turns.select(F.col("turn_id").cast("bigint").alias("turn_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("side"))
-    b = Blocks(t, cross=False)
-    kept = Stage(b.distinct_blocks(b.kept("s0", "s1")), "rows")
+    b = Banded(t)
+    kept = Stage(b.distinct_blocks(b.rows.select("key", "cls", "s0", "s1")), "rows")
     rows = kept.df
     stars = b.stars(rows)
     if stars.head(1):
