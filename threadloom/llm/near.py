@@ -1,15 +1,14 @@
-"""Near texts by shared runs of words: one candidate search for problems 3 and 5.
-
-1. Every text with enough distinct words gets its class and its anchors
-   (``words.sketch``), written once.
-2. A key is kept if two classes hold it, for (3) classes of both sides: a map-side
-   combined minimum and maximum per key, so a key that a third of all rows hold
-   costs one row per partition.
-3. The text of one representative per class that holds a kept key is read again
-   for suffix ranks, signature and distinct words (``words.features``).
-4. The blocks of equal keys go to the join of the problem: a binary trie join
-   (5) or sorted suffixes (3).  A block over ``BLOCK`` rows is cut into chunks
-   and every pair of chunks is a block of its own, so no task holds a hot key.
+"""Near texts by shared bands of minhashes: one candidate search for problems 3 and 5.
+
+1. Every text with enough distinct words gets its class (``words.class_of``).
+2. The text of one representative per class is read again for signature and
+   distinct words (``words.word_sets``), written once.
+3. Each class has a key per band.  A key is kept if two classes hold it, for (3)
+   classes of both sides: a map-side combined minimum and maximum per key, so a key
+   that a third of all rows hold costs one row per partition.
+4. The blocks of equal keys go to the join of the problem: a binary trie join,
+   for (3) pair by pair in small blocks.  A block over ``BLOCK`` rows is cut into
+   chunks and every pair of chunks is a block of its own, so no task holds a hot key.
 5. Candidates are checked exactly on their distinct words.
 """
 
@@ -42,39 +41,40 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("shuffle_hash")
 
 
-class Blocks:
-    """Stages 1 to 3 over ``turns(turn_id, text, side)``; side is 0, 1 or null for neither."""
-
-    def __init__(self, turns: DataFrame, cross: bool):
-        self.sketch = Stage(turns.select("turn_id", "text", "side").mapInArrow(W.sketch, W.SKETCH), "sketch")
-        sk = self.sketch.df
-        each = sk.select("cls", "side", F.explode("keys").alias("key"))
-        low = each.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
-        self.keys = Stage(low.where("lo <> hi").select("key"), "keys")
-        if cross:
-            wide = self.keys
-            sides = each.join(small(wide.df, wide.df.count()), "key", "left_semi").groupBy("key").agg(F.min("side").alias("lo"), F.max("side").alias("hi"))
-            self.keys = Stage(sides.where("lo <> hi").select("key"), "keys")
-            wide.drop()
-        n = self.keys.df.count()
-        rep = sk.groupBy("cls").agg(F.min("turn_id").alias("turn_id"))
-        held = each.join(small(self.keys.df, n), "key", "left_semi").select("cls").distinct()
-        self.reps = Stage(rep.join(held, "cls", "left_semi"), "reps")
-        m = self.reps.df.count()
-        text = turns.select("turn_id", "text").join(small(self.reps.df, m), "turn_id").select("cls", "text")
-        self.features = Stage(text.mapInArrow(W.features if cross else W.plain_features, W.FEATURES), "features")
-        self.n_keys, self.n_reps = n, m
+class Banded:
+    """Blocks of classes that share a band of minhashes, whatever the order of their words; the rows have (key, cls, s0, s1, tr, ev).
 
-    def words(self) -> DataFrame:
-        return self.features.df.where(F.size("words") > 0).select("cls", "words")
+    A class is ``tr`` if it holds a text of side 0 and ``ev`` if one of side 1, or
+    both where sides are null.  Bands are taken some at a time, so only the rows
+    under shared keys are ever kept together.
+    """
+
+    def __init__(self, turns: DataFrame):
+        self.sketch = Stage(turns.select("turn_id", "text", "side").mapInArrow(W.class_of, W.CLASS_OF), "sketch")
+        flag = lambda c: F.coalesce(c.cast("int"), F.lit(1))
+        rep = self.sketch.df.groupBy("cls").agg(F.min("turn_id").alias("turn_id"), flag(F.min("side") == 0).alias("tr"), flag(F.max("side") == 1).alias("ev"))
+        self.reps = Stage(rep, "reps")
+        text = turns.select("turn_id", "text").join(small(self.reps.df, self.reps.df.count()), "turn_id").select("cls", "tr", "ev", "text")
+        self.features = Stage(text.mapInArrow(W.word_sets, W.WORD_SETS), "features")
+        self.passes = [self._pass(s, min(s + W.BANDS_PER_PASS, W.BANDS)) for s in range(0, W.BANDS, W.BANDS_PER_PASS)]
+        self.rows = reduce(DataFrame.unionByName, [p.df for p in self.passes])
 
-    def kept(self, *columns: str) -> DataFrame:
-        """Anchors of the representatives under the kept keys."""
-        return self.features.df.select("key", "cls", *columns).join(small(self.keys.df, self.n_keys), "key", "left_semi")
+    def _pass(self, first: int, last: int) -> Stage:
+        d = self.features.df
+        each = d.select("cls", "tr", "ev", "words").mapInArrow(W.banded(first, last, "cls", "tr", "ev"), "key bigint, cls bigint, tr int, ev int")
+        low = each.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max("tr").alias("tr"), F.max("ev").alias("ev"))
+        keys = Stage(low.where("lo <> hi and tr = 1 and ev = 1").select("key"), "keys")
+        every = d.mapInArrow(W.banded(first, last, "cls", "s0", "s1", "tr", "ev"), "key bigint, cls bigint, s0 bigint, s1 bigint, tr int, ev int")
+        out = Stage(every.join(small(keys.df, keys.df.count()), "key", "left_semi"), "rows")
+        keys.drop()
+        return out
+
+    def words(self) -> DataFrame:
+        return self.features.df.select("cls", "words")
 
     def blocks(self, rows: DataFrame) -> DataFrame:
-        """Anchors with the block each belongs to; a large block becomes the pairs of its chunks."""
-        big = self.sizes().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+        """Rows with the block each belongs to; a large block becomes the pairs of its chunks."""
+        big = self.rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
         big = Stage(big.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("c")), "big")
         n_big = big.df.count()
         if not n_big:
@@ -103,12 +103,9 @@ class Blocks:
         pairs.drop()
         return out
 
-    def sizes(self) -> DataFrame:
-        return self.features.df
-
     def tasks(self) -> int:
-        """Tasks for whole blocks: some 200,000 anchors each, and no fewer than there are cores."""
-        return max(self.features.spark.sparkContext.defaultParallelism, -(-self.sizes().count() // ROWS_PER_TASK))
+        """Tasks for whole blocks: some 200,000 rows each, and no fewer than there are cores."""
+        return max(self.features.spark.sparkContext.defaultParallelism, -(-self.rows.count() // ROWS_PER_TASK))
 
     def verified(self, pairs: DataFrame, least: float = JACCARD) -> DataFrame:
         """Pairs (a, b, ...) of classes whose distinct words have at least that Jaccard similarity."""
@@ -120,45 +117,6 @@ class Blocks:
 
     def drop(self) -> None:
         """Remove what only the search needed; the sketch, with every text's class, stays."""
-        for s in (self.keys, self.reps, self.features):
-            s.drop()
-
-
-class Banded(Blocks):
-    """Blocks of classes that share a band of minhashes, whatever the order of their words; the rows have (key, cls, s0, s1, tr, ev).
-
-    A class is ``tr`` if it holds a text of side 0 and ``ev`` if one of side 1, or
-    both where sides are null.  Bands are taken some at a time, so only the rows
-    under shared keys are ever kept together.
-    """
-
-    def __init__(self, turns: DataFrame):
-        self.sketch = Stage(turns.select("turn_id", "text", "side").mapInArrow(W.class_of, W.CLASS_OF), "sketch")
-        flag = lambda c: F.coalesce(c.cast("int"), F.lit(1))
-        rep = self.sketch.df.groupBy("cls").agg(F.min("turn_id").alias("turn_id"), flag(F.min("side") == 0).alias("tr"), flag(F.max("side") == 1).alias("ev"))
-        self.reps = Stage(rep, "reps")
-        text = turns.select("turn_id", "text").join(small(self.reps.df, self.reps.df.count()), "turn_id").select("cls", "tr", "ev", "text")
-        self.features = Stage(text.mapInArrow(W.word_sets, W.WORD_SETS), "features")
-        self.passes = [self._pass(s, min(s + W.BANDS_PER_PASS, W.BANDS)) for s in range(0, W.BANDS, W.BANDS_PER_PASS)]
-        self.rows = reduce(DataFrame.unionByName, [p.df for p in self.passes])
-
-    def _pass(self, first: int, last: int) -> Stage:
-        d = self.features.df
-        each = d.select("cls", "tr", "ev", "words").mapInArrow(W.banded(first, last, "cls", "tr", "ev"), "key bigint, cls bigint, tr int, ev int")
-        low = each.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"), F.max("tr").alias("tr"), F.max("ev").alias("ev"))
-        keys = Stage(low.where("lo <> hi and tr = 1 and ev = 1").select("key"), "keys")
-        every = d.mapInArrow(W.banded(first, last, "cls", "s0", "s1", "tr", "ev"), "key bigint, cls bigint, s0 bigint, s1 bigint, tr int, ev int")
-        out = Stage(every.join(small(keys.df, keys.df.count()), "key", "left_semi"), "rows")
-        keys.drop()
-        return out
-
-    def words(self) -> DataFrame:
-        return self.features.df.select("cls", "words")
-
-    def sizes(self) -> DataFrame:
-        return self.rows
-
-    def drop(self) -> None:
         for s in (self.reps, self.features, *self.passes):
             s.drop()
 

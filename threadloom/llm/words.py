@@ -147,67 +147,6 @@ def batch_words(texts: list[str | None], h: Hasher, least: int = MIN_WORDS):
     return np.array(rows, np.int64), np.array(flat, np.uint64), first(ln), ln, np.array(uniq, np.uint64), first(sz)
 
 
-def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(turn_id, text, side) to (turn_id, side, cls, keys); texts with few distinct words give no row."""
-    h = Hasher()
-    schema = pa.schema([("turn_id", pa.int64()), ("side", pa.int32()), ("cls", pa.int64()), ("keys", pa.list_(pa.int64()))])
-    for b in batches:
-        rows, flat, st, ln, uq, us = batch_words(b.column("text").to_pylist(), h)
-        if not rows.size:
-            continue
-        ti, _, keys = anchors(flat, st, ln)
-        order = np.argsort(ti, kind="stable")
-        offs = np.searchsorted(ti[order], np.arange(rows.size + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offs), pa.array(keys[order].view(np.int64)))
-        take = pa.array(rows)
-        yield pa.RecordBatch.from_arrays([b.column("turn_id").take(take), b.column("side").take(take), pa.array(class_ids(uq, us)), lists], schema=schema)
-
-
-SKETCH = "turn_id bigint, side int, cls bigint, keys array<bigint>"
-
-
-def plain_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``features`` without suffix ranks, which are 0."""
-    return features(batches, ())
-
-
-def features(batches: Iterator[pa.RecordBatch], lengths: tuple[int, ...] = (16, 32, 64)) -> Iterator[pa.RecordBatch]:
-    """(cls, text) to one row per anchor with the suffix ranks from there, the signature and, on its first row, the distinct words."""
-    h = Hasher()
-    schema = pa.schema(
-        [("cls", pa.int64()), ("key", pa.int64()), ("pos", pa.int32())]
-        + [(f"r{n}", pa.int64()) for n in (16, 32, 64)]
-        + [("s0", pa.int64()), ("s1", pa.int64()), ("n_words", pa.int32()), ("words", pa.list_(pa.int64()))]
-    )
-    for b in batches:
-        rows, flat, st, ln, uq, us = batch_words(b.column("text").to_pylist(), h)
-        if not rows.size:
-            continue
-        ti, ps, keys = anchors(flat, st, ln)
-        order = np.lexsort((ps, ti))
-        ti, ps, keys = ti[order], ps[order], keys[order]
-        at = st[ti] + ps
-        ranks = []
-        for n in (16, 32, 64):
-            r = rolled(flat, n)[at] if n in lengths else np.zeros(at.size, np.uint64)
-            ranks.append(np.where(ps + n <= ln[ti], r, np.uint64(0)).view(np.int64))
-        s0, s1 = signatures(uq, us)
-        first = np.concatenate(([True], ti[1:] != ti[:-1])) if ti.size else np.empty(0, bool)
-        sizes = np.diff(np.concatenate((us, [uq.size])))
-        offs = np.concatenate(([0], np.cumsum(np.where(first, sizes[ti], 0)))).astype(np.int32)
-        own = np.repeat(np.arange(rows.size), sizes)
-        uq = uq[np.lexsort((uq, own))]
-        lists = pa.ListArray.from_arrays(pa.array(offs), pa.array(uq.view(np.int64)))
-        cls = b.column("cls").take(pa.array(rows)).to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cls[ti]), pa.array(keys.view(np.int64)), pa.array(ps.astype(np.int32)), *map(pa.array, ranks), pa.array(s0[ti].view(np.int64)), pa.array(s1[ti].view(np.int64)), pa.array(ln[ti].astype(np.int32)), lists],
-            schema=schema,
-        )
-
-
-FEATURES = "cls bigint, key bigint, pos int, r16 bigint, r32 bigint, r64 bigint, s0 bigint, s1 bigint, n_words int, words array<bigint>"
-
-
 def class_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(turn_id, text, side) to (turn_id, side, cls); texts with few distinct words give no row."""
     h = Hasher()
