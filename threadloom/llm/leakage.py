@@ -41,7 +41,7 @@ class Automaton:
         self.link, self.len = [-1], [0]
         holds: list[int] = [0]
         self.items = [i for i, _ in items]
-        self.sizes = {i: len(ws) for i, ws in items}
+        self.words = [ws for _, ws in items]
         for n, (_, ws) in enumerate(items):
             last = 0
             for w in ws:
@@ -104,9 +104,10 @@ class Automaton:
             if n >= least:
                 yield e, n, s
 
-    def longest(self, ws: list[str], least: int) -> dict[int, tuple[int, int]]:
-        """Per item the longest run it shares with the words, and where that ends; runs under ``least`` are left out."""
-        best: dict[int, tuple[int, int]] = {}
+    def shared(self, ws: list[str], least: int) -> Iterator[tuple[int, int, int, list[list[int]]]]:
+        """Per item with a shared run of ``least`` words: (number, longest run, words of the item in such runs, stretches [begin, end) of the words)."""
+        found: dict[int, list[list[int]]] = {}
+        longest: dict[int, int] = {}
         for e, n, s in self.matches(ws, least):
             seen = 0
             while s > 0 and n >= least:
@@ -115,12 +116,23 @@ class Automaton:
                 while new:
                     low = new & -new
                     i = low.bit_length() - 1
-                    if best.get(i, (0, 0))[0] < n:
-                        best[i] = (n, e)
+                    longest[i] = max(longest.get(i, 0), n)
+                    runs = found.setdefault(i, [])
+                    if runs and e - n + 1 <= runs[-1][1]:
+                        runs[-1][1] = e + 1
+                    else:
+                        runs.append([e - n + 1, e + 1])
                     new ^= low
                 s = self.link[s]
                 n = self.len[s] if s > 0 else 0
-        return {self.items[i]: v for i, v in best.items()}
+        for i, runs in found.items():
+            there = {tuple(ws[k : k + least]) for b, e in runs for k in range(b, e - least + 1)}
+            own, covered, end = self.words[i], 0, 0
+            for k in range(len(own) - least + 1):
+                if tuple(own[k : k + least]) in there:
+                    covered += k + least - max(k, end)
+                    end = k + least
+            yield i, longest[i], covered, runs
 
 
 def _passes(probes: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
@@ -141,10 +153,10 @@ def _passes(probes: DataFrame) -> Iterator[list[tuple[int, list[str]]]]:
 def leaks(documents: DataFrame, probes: DataFrame) -> DataFrame:
     """One row per item and document that share at least 12 consecutive words.
 
-    Columns: item_id, doc_id, n_words (longest shared run), coverage (its part of
-    the item).  Accents and invisible format characters are removed on both sides.
+    Columns: item_id, doc_id, n_words (longest shared run), coverage (part of the
+    item that lies in any such run).  Accents and invisible format characters are removed on both sides.
     A suffix automaton of the items reads each document once and keeps the longest
-    match at every word.  Null and short texts match nothing; repeated items are
+    match at every word, joined to runs.  Null and short texts match nothing; repeated items are
     found each; no items or no documents give no rows.
     """
     spark = documents.sparkSession
@@ -158,8 +170,8 @@ def leaks(documents: DataFrame, probes: DataFrame) -> DataFrame:
             for b in batches:
                 rows = []
                 for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                    for i, (n, _) in auto.longest(WORD.findall(plain(t)), LEAST).items():
-                        rows.append((i, d, n, round(n / auto.sizes[i], 6)))
+                    best = {auto.items[i]: (n, c / len(auto.words[i])) for i, n, c, _ in auto.shared(WORD.findall(plain(t)), LEAST)}
+                    rows += [(i, d, n, round(c, 6)) for i, (n, c) in best.items()]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["item_id", "doc_id", "n_words", "coverage"])
 
@@ -169,10 +181,10 @@ def leaks(documents: DataFrame, probes: DataFrame) -> DataFrame:
 
 
 def without_leaks(documents: DataFrame, probes: DataFrame, max_words: int = 24, max_coverage: float = 0.5) -> DataFrame:
-    """Affected documents without the shared runs of more than ``max_words`` words or more than ``max_coverage`` of an item.
+    """Affected documents without the runs shared with an item of which they hold more than ``max_words`` words or more than ``max_coverage``.
 
-    Columns: doc_id, n_spans, n_words_removed, text.  A run goes with what stands
-    between its words; the rest of the text stays as it is.  Documents without such
+    Columns: doc_id, n_spans, n_words_removed, text.  All runs of 12 or more
+    words of such an item go, also further copies, with what stands between the words; the rest of the text stays as it is.  Documents without such
     a run give no row.
     """
     spark = documents.sparkSession
@@ -188,10 +200,9 @@ def without_leaks(documents: DataFrame, probes: DataFrame, max_words: int = 24,
                 cut = []
                 for a in sent:
                     auto = a.value
-                    size = {i: auto.sizes[i] for i in auto.items}
-                    for i, (n, e) in auto.longest(ws, LEAST).items():
-                        if n > max_words or n > max_coverage * size[i]:
-                            cut.append((e - n + 1, e + 1))
+                    for i, _, n, runs in auto.shared(ws, LEAST):
+                        if n > max_words or n > max_coverage * len(auto.words[i]):
+                            cut += map(tuple, runs)
                 if not cut:
                     continue
                 cut.sort()
