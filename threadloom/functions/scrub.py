@@ -107,7 +107,7 @@ def entropy(token: str) -> float:
 
 _SECRET_RX = [re.compile(p) for p in SECRETS.values()]
 _CANDIDATE_RX = re.compile(CANDIDATE)
-_SUSPECT = "|".join([*SECRETS.values(), CANDIDATE])
+SUSPECT = "|".join([*SECRETS.values(), CANDIDATE])
 
 
 def secret_spans(text: str, threshold: float = ENTROPY) -> list[tuple[int, int]]:
@@ -144,7 +144,7 @@ def redact(df: DataFrame, text: str = "text", out: str = "redacted", threshold:
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: None if x is None else redact_text(x, threshold))
 
-    suspect = F.coalesce(F.col(text).rlike(_SUSPECT), F.lit(False))
+    suspect = F.coalesce(F.col(text).rlike(SUSPECT), F.lit(False))
     return df.where(~suspect).withColumn(out, _or_error(text, F.col(text), null_error)).unionByName(df.where(suspect).withColumn(out, run(F.col(text))))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.functions.scrub import classify, identity_map, identity_pattern, marked, matching_view, pseudonymize, redact, scrub_identity, secret_spans
+from threadloom.functions.scrub import SUSPECT, classify, identity_map, identity_pattern, marked, matching_view, pseudonymize, redact, scrub_identity, secret_spans
 from threadloom.operators.turns import normalize, vault_dedupe
 from threadloom.session import Stage
 
@@ -63,7 +63,7 @@ def audit(turns: DataFrame, needles: list[str]) -> DataFrame:
     def has_secret(x):
         return bool(x) and bool(secret_spans(x))
 
-    suspect = F.col("text").rlike(r"[A-Za-z0-9+/=_\-]{20,}|PRIVATE KEY|Bearer")
+    suspect = F.col("text").rlike(SUSPECT)
     checks = {
         "confidential": marked(F.col("view")),
         "raw_author": ~F.coalesce("is_subject", F.lit(False)) & ~F.coalesce(F.col("author_id").rlike("^P-[0-9a-f]{12}$"), F.lit(False)),
