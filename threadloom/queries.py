@@ -335,13 +335,13 @@ def _subject_heldout(t) -> DataFrame:
 
 @query()
 def self_distance_band(t):
-    return style.self_distance_band(_subject_heldout(t), 50, 0, "turn_id").select(F.round("median", 6).alias("median"), F.round("p95", 6).alias("p95"), "trials", "partitions", "reason")
+    return style.self_distance_band(_subject_heldout(t), key="turn_id").select(F.round("median", 6).alias("median"), F.round("p95", 6).alias("p95"), "trials", "partitions", "reason")
 
 
 @query()
 def corpus_distance(t):
     mine = _subject_heldout(t)
-    band = style.self_distance_band(mine, 50, 0, "turn_id")
+    band = style.self_distance_band(mine, key="turn_id")
     other = ops.split_corpus(t("turns"), _now()).where("split = 'train' and not is_subject and text is not null").select("turn_id", "thread_id", "text")
     return style.corpus_distance(mine, other, band, 25, 0, "turn_id").select(F.round("distance", 6).alias("distance"), "draws")
 
