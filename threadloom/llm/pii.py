@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +21,8 @@ KINDS = ("email", "phone", "id_number", "street_address", "person_name")
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "street_address": "[ADDRESS]", "person_name": "[NAME]"}
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 TRAIN_ROWS = 3500
-#: Turns from which the ordinary words are learnt (by hash of the id), and in how many of these a word must stand.
-VOCABULARY_TURNS, ORDINARY = 5000, 4
+#: An ordinary word stands in this many texts at least, and in this part of all texts, so the size of the table does not matter.
+ORDINARY, ORDINARY_SHARE = 4, 0.0003
 #: Words on either side of a trigger (digits, at sign, known name, street word) that are decoded; items reach no farther.
 REACH = 8
 
@@ -485,21 +487,31 @@ class Finder:
 _BREAK = re.compile(r"[^\S\n]*[\r\n]+\s*")
 
 
-def ordinary_words(texts: list[str], given: set[str], surnames: set[str]) -> set[str]:
-    """Words that stand in ``ORDINARY`` texts or more in small letters or away from given names, and are no known name."""
-    seen: dict[str, int] = {}
-    for t in texts:
-        raw = re.findall(r"[^\W\d_]+", t)
-        ws = [w.lower() for w in raw]
-        alone = {w for p, w, n in zip(["", *ws], ws, [*ws[1:], ""]) if p not in given and n not in given and len(p) != 1}
-        for w in alone | {w for w in raw if w.islower()}:
-            if len(w) > 1:
-                seen[w] = seen.get(w, 0) + 1
-    return {w for w, n in seen.items() if n >= ORDINARY and w not in surnames and w not in given}
+def _plain_words(text: str, given: set[str]) -> set[str]:
+    """Words of a text in small letters or away from given names."""
+    raw = re.findall(r"[^\W\d_]+", text)
+    ws = [w.lower() for w in raw]
+    alone = {w for p, w, n in zip(["", *ws], ws, [*ws[1:], ""]) if p not in given and n not in given and len(p) != 1}
+    return {w for w in alone | {w for w in raw if w.islower()} if len(w) > 1}
+
+
+def ordinary_words(turns: DataFrame, given: set[str], surnames: set[str]) -> set[str]:
+    """Words that stand in small letters or away from given names in ``ORDINARY`` texts and ``ORDINARY_SHARE`` of all, and are no known name."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen = Counter(w for t in b.column("text").to_pylist() for w in _plain_words(t, given))
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
+
+    texts = turns.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    least = max(ORDINARY, math.ceil(ORDINARY_SHARE * texts.count()))
+    often = texts.mapInArrow(count, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("w")
+    return {r[0] for r in collect_bounded(often, 1_000_000)} - surnames - given
 
 
 def _finder(turns: DataFrame, contacts: DataFrame, subjects: DataFrame):
-    """A broadcast (tagger, given names, surnames, ordinary words); name tables are fixed and bounded, the words come from a bounded sample."""
+    """A broadcast (tagger, given names, surnames, ordinary words); name tables are fixed and bounded, the words are counted over all texts."""
     spark = turns.sparkSession
     names = collect_bounded(contacts.select("given_name", "surname"), 100_000)
     given = {r[0].strip().lower() for r in names if r[0] and r[0].strip()}
@@ -509,9 +521,7 @@ def _finder(turns: DataFrame, contacts: DataFrame, subjects: DataFrame):
         if len(p) > 1:
             given.add(p[0].lower())
             sur.add(p[-1].lower())
-    ids = turns.where("text is not null").select("turn_id").orderBy(F.xxhash64("turn_id"), "turn_id").limit(VOCABULARY_TURNS)
-    texts = [r[0] for r in turns.select("turn_id", "text").join(F.broadcast(ids), "turn_id", "left_semi").select("text").collect()]
-    return spark.sparkContext.broadcast((Tagger(), given, sur, ordinary_words(texts, given, sur)))
+    return spark.sparkContext.broadcast((Tagger(), given, sur, ordinary_words(turns, given, sur)))
 
 
 def _run(turns: DataFrame, contacts: DataFrame, subjects: DataFrame, emit, schema: str) -> DataFrame:
