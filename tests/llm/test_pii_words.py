@@ -12,3 +12,19 @@ def test_ordinary_words_do_not_depend_on_the_size_of_the_table(make_turns):
     want = set(vocab)
     assert pii.ordinary_words(few, {"ada"}, {"lom"}) == pii.ordinary_words(many, {"ada"}, {"lom"}) == want
     assert pii.ordinary_words(make_turns([{"text": None}, {"text": "Ada Lom came"}] * 5), {"ada"}, {"lom"}) == {"came"}
+
+
+def test_every_word_of_a_text_is_decoded():
+    """Also where nothing near looks like an item."""
+    tagger = pii.Tagger()
+    words = {"the", "report", "was", "open", "today", "signed", "by", "and", "kept"}
+    find = pii.Finder(tagger, {"ada"}, {"lom"}, words)
+    calls = []
+    viterbi = tagger.crf.viterbi
+    tagger.crf.viterbi = lambda em, sizes: calls.append(int(sizes.sum())) or viterbi(em, sizes)
+    text = "the report was open today signed by Xaveria Quillon and kept"
+    find([text, None, "", "the report was open"])
+    assert calls == [15]
+    tagger.crf.viterbi = viterbi
+    for t in ("Dr. Xaveria Quillon checked the report", "the report was signed by Xaveria Quillon today", "Mrs Xaveria Quillon called"):
+        assert [(t[a:b], k) for a, b, k in find([t])[0]] == [("Xaveria Quillon", "person_name")]

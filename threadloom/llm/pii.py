@@ -23,8 +23,6 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 TRAIN_ROWS = 3500
 #: An ordinary word stands in this many texts at least, and in this part of all texts, so the size of the table does not matter.
 ORDINARY, ORDINARY_SHARE = 4, 0.0003
-#: Words on either side of a trigger (digits, at sign, known name, street word) that are decoded; items reach no farther.
-REACH = 8
 
 # Words around personal items and around numbers that are none.
 PHONE_WORDS = set("call tel tel. telephone phone mobile cell text sms fax ring dial number desk line whatsapp handy telefon portable m t f reach".split())
@@ -155,16 +153,6 @@ class Forms(dict):
             out.append("w:" + low)
         return tuple(out)
 
-    @staticmethod
-    def trigger(f: tuple[str, ...]) -> int:
-        """2: look around here; 1: look if another such is next to it."""
-        s = set(f)
-        if s & {"at", "at-only", "at-half", "AT", "given", "surname", "initial", "street", "street-before", "street-end"}:
-            return 2
-        if "digits" in s:
-            return 1 if s & {"len1", "len2"} and "house" in s else 2
-        return 0
-
 
 OFFSETS = (-3, -2, -1, 0, 1, 2, 3)
 
@@ -344,7 +332,7 @@ class Finder:
 
     def __init__(self, tagger: Tagger, given: set[str], surnames: set[str], ordinary: set[str]):
         self.tagger, self.forms = tagger, Forms(given, surnames, ordinary)
-        self.scores, self.kind_of, self.trig = None, [x[2:] for x in LABELS], np.zeros(0, np.int8)
+        self.scores, self.kind_of = None, [x[2:] for x in LABELS]
 
     def _grow(self) -> None:
         n = len(self.forms.list)
@@ -353,7 +341,6 @@ class Finder:
         have = 0 if self.scores is None else self.scores.shape[1] - 1
         new = self.tagger.table(self.forms.list[have:])
         self.scores = new if self.scores is None else np.concatenate((self.scores[:, :-1], new), 1)
-        self.trig = np.concatenate((self.trig[:have], np.array([Forms.trigger(f) for f in self.forms.list[have:]], np.int8), np.zeros(1, np.int8)))
 
     def __call__(self, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:
         forms = self.forms
@@ -361,26 +348,16 @@ class Finder:
         self._grow()
         lens = np.array([len(p) for p in per], np.int64)
         out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-        # texts stand one after the other with REACH edges between them
-        gap = len(OFFSETS) + REACH
+        # texts stand one after the other with edges between them
+        gap = len(OFFSETS)
         edge = len(self.forms.list)
         flat = np.full(int(lens.sum()) + gap * (len(texts) + 1), edge, np.int64)
         firsts = np.cumsum(lens + gap) - lens
         for f, p in zip(firsts, per):
             flat[f : f + len(p)] = p
-        t = self.trig[flat]
-        hot = t == 2
-        pair = (t[1:] > 0) & (t[:-1] > 0)
-        hot[1:] |= pair
-        hot[:-1] |= pair
-        at = np.flatnonzero(hot)
-        if not at.size:
+        where = np.flatnonzero(flat != edge)
+        if not where.size:
             return out
-        mark = np.zeros(flat.size + 1, np.int64)
-        np.add.at(mark, np.maximum(at - REACH, 0), 1)
-        np.add.at(mark, np.minimum(at + REACH + 1, flat.size), -1)
-        live = (np.cumsum(mark[:-1]) > 0) & (flat != edge)
-        where = np.flatnonzero(live)
         cut = np.concatenate(([True], np.diff(where) > 1))
         sizes = np.diff(np.concatenate((np.flatnonzero(cut), [where.size])))
         em = np.zeros((where.size, len(LABELS)), np.float32)
@@ -544,8 +521,8 @@ def _run(turns: DataFrame, contacts: DataFrame, subjects: DataFrame, emit, schem
 def personal_items(turns: DataFrame, contacts: DataFrame, subjects: DataFrame) -> DataFrame:
     """Each distinct item ``(turn_id, kind, found)`` of every turn; a line break in an item is one blank.
 
-    A conditional random field over word shapes labels the words around every
-    trigger; spans that cannot be of their kind (an address without at sign, a
+    A conditional random field over word shapes labels every word
+    of every text; spans that cannot be of their kind (an address without at sign, a
     phone number of five digits) are left out.  Null, empty and plain texts give no
     rows.  Two turns with one id are two texts.
     """
