@@ -13,6 +13,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,13 +54,29 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+@contextmanager
+def spent_shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is executed inside are removed as soon as it has ended, not when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 class Stage:
     """A DataFrame written to the shared folder, with the means to remove it."""
 
     def __init__(self, df: DataFrame, tag: str):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/threadloom/{tag}-{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        with spent_shuffles_removed(self.spark):
+            df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
