@@ -56,17 +56,23 @@ def test_trie_join_is_exact():
     assert list(trie_join(block[:0], s[:0, 0], s[:0, 1], 3, None, same[:0])) == []
 
 
-def test_anchors_are_shared_by_common_runs():
-    r = random.Random(2)
-    h = W.Hasher()
-    for _ in range(60):
-        run = [f"w{r.randrange(10**6)}" for _ in range(9)]
-        texts = [[f"a{r.randrange(10**6)}" for _ in range(r.randrange(1, 30))] + run + [f"b{r.randrange(10**6)}" for _ in range(r.randrange(1, 20))] for _ in range(2)]
-        keys = []
-        for t in texts:
-            flat = np.array([h[w] for w in t], np.uint64)
-            keys.append(set(W.anchors(flat, np.array([0]), np.array([len(t)]))[2].tolist()))
-        assert keys[0] & keys[1]
+def test_minhashes_estimate_jaccard():
+    r = np.random.default_rng(2)
+    sizes = np.array([40, 24, 40, 300, 24, 1])
+    flat = r.integers(0, 2**63, sizes.sum()).astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    flat[starts[2] : starts[2] + 30] = flat[:30]
+    low = W.minhashes(flat, starts, sizes, "b", 0, 2000)
+    assert low.shape == (2000, 6)
+    assert abs((low[:, 0] == low[:, 2]).mean() - 30 / 50) < 0.05 and not (low[:, 0] == low[:, 3]).any()
+    h = (W.mix(flat, W.M3) >> np.uint64(32)).astype(np.uint32)
+    assert low[7].tolist() == [int((h[s : s + n] * W._odd("b", 7)).min()) for s, n in zip(starts, sizes)]
+
+
+def test_bands_miss_as_seldom_at_any_size():
+    for n in (0, 1, 10**5, 10**7, 10**9, 10**12):
+        rows, bands = W.band_plan(n, 0.7)
+        assert (1 - 0.7**rows) ** bands <= W.MISS
 
 
 def test_groups_match_brute_force(make_turns, prose):
@@ -83,29 +89,54 @@ def test_groups_match_brute_force(make_turns, prose):
     assert {tuple(r) for r in neardup.near_duplicate_groups(d.orderBy("text").repartition(5)).collect()} == got
 
 
-def test_hot_block_is_cut_into_chunks(make_turns, prose, monkeypatch):
+@pytest.fixture
+def tiny_limits(monkeypatch):
     from threadloom.llm import near as N
 
-    monkeypatch.setattr(N, "BLOCK", 8)
-    head = prose.text(12)
-    rows = [head + " " + prose.text(30) for _ in range(40)]
+    for name, n in (("HOT", 4), ("SHARE", 10), ("CHUNK", 5)):
+        monkeypatch.setattr(N, name, n)
+    return N
+
+
+def test_hot_keys_are_cut_into_chunks(make_turns, prose, tiny_limits):
+    head = prose.text(22)
+    rows = [head + " " + prose.text(12) for _ in range(40)]
     rows += [prose.edit(t, 2) for t in rows[:20]]
     d = make_turns([{"text": t, "eval_split": "train" if i < 40 else "heldout"} for i, t in enumerate(rows)])
+    t = d.withColumn("side", overlap._side()).select("turn_id", "text", "side")
+    found = tiny_limits.Banded(t, cross=True)._hot()
+    assert found and max(found.values()) > 2 * tiny_limits.CHUNK
     assert {tuple(r) for r in neardup.near_duplicate_groups(d).collect()} == groups(list(enumerate(rows, 1)))
     want = {(i + 1, j + 1) for i in range(40) for j in range(40, 60) if near(rows[i], rows[j])}
     assert {tuple(r) for r in overlap.overlap_pairs(d).collect()} == want
 
 
-def test_hot_group_is_linked_by_stars(make_turns, prose, monkeypatch):
-    from threadloom.llm import near as N
-
-    monkeypatch.setattr(N, "STAR", 3)
+def test_hot_group_is_linked_by_stars(make_turns, prose, tiny_limits):
     base = prose.text(40)
     rows = [prose.edit(base, k % 9) for k in range(30)] + [" ".join(base.split()[:10]) + " " + prose.text(30) for _ in range(6)]
     d = make_turns([{"text": t} for t in rows])
     assert {tuple(r) for r in neardup.near_duplicate_groups(d).collect()} == groups(list(enumerate(rows, 1)))
 
 
+def test_records_follow_the_rows_where_a_third_is_one_group(make_turns, prose, tiny_limits):
+    """Keys whose classes are linked to one centre send no record: as many rows of near copies as of others add none."""
+    base = prose.text(60)
+    other = [prose.text(60) for _ in range(40)]
+    sent = []
+    for extra in (0, 20):
+        d = make_turns([{"text": t} for t in other + [base.replace(base.split()[k], f"one{k}") for k in range(extra)]])
+        b = tiny_limits.Banded(d.selectExpr("turn_id", "text", "cast(null as int) as side"), cross=False)
+        got = b.near()
+        assert got.count() >= max(0, extra - 1)
+        rows = b.features.df
+        hot = np.array(sorted(b._hot()), np.int64)
+        if extra:
+            ends = b._ends(rows, hot.view(np.uint64), "comp")
+            assert sum(lo == hi for lo, hi in ends.values()) > 0.8 * len(ends)
+        sent.append(len(hot))
+    assert sent[0] == 0 < sent[1]
+
+
 def test_without_broadcasts(make_turns, prose, monkeypatch):
     from threadloom.llm import near as N
 
@@ -117,15 +148,22 @@ def test_without_broadcasts(make_turns, prose, monkeypatch):
     assert {tuple(r) for r in overlap.overlap_pairs(d).collect()} == {(i + 1, j + 1) for i in range(10) for j in range(10, 20) if near(rows[i], rows[j])}
 
 
-def test_long_runs_use_the_trie(make_turns, prose, monkeypatch):
-    monkeypatch.setattr(overlap, "RUN", 3)
+def test_large_blocks_use_the_trie(make_turns, prose):
     base = prose.text(40)
-    rows = [prose.edit(base, 2) for _ in range(24)]
+    rows = [prose.edit(base, 2) for _ in range(60)]
     d = make_turns([{"text": t, "eval_split": "train" if i % 2 else "validation"} for i, t in enumerate(rows)])
-    want = {(i + 1, j + 1) for i, j in itertools.combinations(range(24), 2) if i % 2 != j % 2 and near(rows[i], rows[j])}
+    want = {(i + 1, j + 1) for i, j in itertools.combinations(range(60), 2) if i % 2 != j % 2 and near(rows[i], rows[j])}
     assert {tuple(r) for r in overlap.overlap_pairs(d).collect()} == want
 
 
+def test_repeated_rows_count_once(make_turns, prose):
+    a, b = prose.text(40), prose.text(40)
+    one = [{"turn_id": 1, "text": a}, {"turn_id": 2, "text": prose.edit(a, 2), "eval_split": "heldout"}, {"turn_id": 3, "text": b}]
+    d = make_turns([*one, *one, {"turn_id": None, "text": a}, {"turn_id": None, "text": a, "eval_split": "heldout"}])
+    assert sorted(tuple(r) for r in neardup.near_duplicate_groups(d).collect()) == [(1, 1), (1, 2)]
+    assert [tuple(r) for r in overlap.overlap_pairs(d).collect()] == [(1, 2)]
+
+
 def test_overlaps(make_turns, prose):
     a = prose.text(40)
     rows = [

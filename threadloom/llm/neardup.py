@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.llm.near import Banded, trie_pairs
+from threadloom.llm.near import Banded
 from threadloom.operators.graph import connected_components
-from threadloom.session import Stage
 
 
 def near_duplicate_groups(turns: DataFrame) -> DataFrame:
@@ -16,29 +15,19 @@ def near_duplicate_groups(turns: DataFrame) -> DataFrame:
     Two turns are near if both have at least 24 distinct words and the Jaccard
     similarity of these is at least 0.7.  Candidates come from a binary trie
     self-join of one-bit minhash signatures within blocks of shared minhash bands;
-    each is checked on its words.  Classes of a large block are first linked to one
-    of it, and node pairs whose leaves are linked already are not descended.  Null, empty and short texts are in no group;
-    an empty table gives no rows; copies are one class and never paired.
+    each is checked on its words.  Classes of a hot block are first linked to one of
+    it, and node pairs whose leaves are linked already are not descended.  Rows
+    without turn_id and null, empty and short texts are in no group; repeated rows
+    count once; an empty table gives no rows; copies are one class and never paired.
     ``group_id`` is the smallest ``turn_id`` of the group.  Other columns are ignored.
     """
     t = turns.select(F.col("turn_id").cast("bigint").alias("turn_id"), F.col("text").cast("string").alias("text"), F.lit(None).cast("int").alias("side"))
-    b = Banded(t)
-    kept = Stage(b.distinct_blocks(b.rows.select("key", "cls", "s0", "s1")), "rows")
-    rows = kept.df
-    stars = b.stars(rows)
-    if stars.head(1):
-        linked = connected_components(stars, "a", "b").select(F.col("node").alias("cls"), F.col("component").alias("comp"))
-        rows = rows.join(linked, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
-    else:
-        rows = rows.withColumn("comp", F.col("cls"))
-    cand = Stage(b.blocks(rows).mapInArrow(trie_pairs, "a bigint, b bigint").distinct(), "candidates")
-    edges = Stage(b.verified(cand.df).select("a", "b").unionByName(stars), "edges")
-    for s in (kept, cand, b):
-        s.drop()
-    comp = connected_components(edges.df, "a", "b").withColumnRenamed("node", "cls")
-    member = b.sketch.df.select("turn_id", "cls")
-    classes = member.groupBy("cls").agg(F.min("turn_id").alias("low"), F.count("*").alias("n"))
+    b = Banded(t, cross=False)
+    near = b.near()
+    b.drop()
+    comp = connected_components(near, "a", "b").withColumnRenamed("node", "cls")
+    classes = b.member.groupBy("cls").agg(F.min("turn_id").alias("low"), F.count("*").alias("n"))
     classes = classes.join(comp, "cls", "left").withColumn("g", F.coalesce("component", "cls"))
     groups = classes.groupBy("g").agg(F.min("low").alias("group_id"), F.sum("n").alias("n")).where("n > 1")
     named = classes.join(groups.select("g", "group_id"), "g").select("cls", "group_id")
-    return member.join(named, "cls").select("group_id", "turn_id")
+    return b.member.join(named, "cls").select("group_id", "turn_id")

@@ -4,14 +4,15 @@ The signatures of a block, sorted, are the leaves of a binary trie: a node is a
 range of the sorted array and its children are told apart by one bit.  Pairs of
 nodes are taken through the levels together, their differing bits add up, and a
 pair whose sum exceeds the budget is dropped with everything below it.  All
-blocks of a partition go through a level at once.
+blocks of a partition go through a level at once.  A node of up to ``LEAF`` rows
+is not divided: pairs of such nodes are compared by all their bits at once.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-LEAF = 4
+LEAF = 16
 CHUNK = 1 << 20
 
 
@@ -27,10 +28,17 @@ def trie_join(block: np.ndarray, s0: np.ndarray, s1: np.ndarray, budget: int, pa
     only pairs with one of each.  Node pairs without such a pair are dropped whole.
     Yields pairs of index arrays; rows need not be sorted.
     """
-    order = np.lexsort((s1, s0, block)) if comp is None else np.lexsort((comp, s1, s0, block))
-    blk, a, b = block[order], s0[order].view(np.uint64), s1[order].view(np.uint64)
+    order = np.argsort(block)
+    blk = block[order]
     edge = np.flatnonzero(np.concatenate(([True], blk[1:] != blk[:-1]))) if blk.size else np.empty(0, np.int64)
     lo, hi = edge, np.concatenate((edge[1:], [blk.size])) if edge.size else edge
+    # only what is divided need be sorted by its bits
+    at = np.flatnonzero(np.repeat(hi - lo > LEAF, hi - lo))
+    if at.size:
+        own = order[at]
+        keys = (s1[own].view(np.uint64), s0[own].view(np.uint64), blk[at])
+        order[at] = own[np.lexsort(keys if comp is None else (comp[own], *keys))]
+    a, b = s0[order].view(np.uint64), s1[order].view(np.uint64)
     keep = hi - lo > 1
     lo, hi = lo[keep], hi[keep]
     side = None if part is None else part[order]

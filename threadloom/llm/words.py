@@ -3,14 +3,14 @@
 A *word* is a longest run of Unicode letters and digits of the lower-cased text.
 Every word has a 64-bit hash; a *class* is the set of distinct words of a text,
 named by a 64-bit sum of mixed word hashes, so texts with equal word sets (exact
-copies first of all) fall into one class.  An *anchor* is the hash of ``SHINGLE``
-consecutive words that is smallest in some window of ``w`` positions; two texts
-with a common run of ``SHINGLE + w - 1`` words have an anchor in common, wherever
-the run stands.
+copies first of all) fall into one class.  A *band* is a hash of some minhashes of
+the set: two sets of Jaccard s share it with probability s to the power of their
+number, in whatever order the words stand.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -20,13 +20,15 @@ import pyarrow.compute as pc
 import xxhash
 
 WORD = re.compile(r"[^\W_]+")
-SHINGLE = 8
 MIN_WORDS = 24
 SIG_BITS = 128
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
-#: Two texts of Jaccard 0.7 share no band of ``ROWS`` minhashes in one case of 20,000: (1 - 0.7 ** 6) ** 80.
-BANDS, ROWS, BANDS_PER_PASS = 80, 6, 20
+#: Chance that two sets at the threshold of similarity share no band.
+MISS = 5e-5
+#: Words of one block of texts whose minhashes are taken together; it stays in the processor's cache.
+CELLS = 1 << 17
+#: Classes that a task remembers to have given the words of.
+SEEN = 1_000_000
 
 
 def words(text: str | None) -> list[str]:
@@ -50,145 +52,126 @@ def mix(x: np.ndarray, m: np.uint64) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def rolled(flat: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the ``k`` words from each position on (words past the end count as 0)."""
-    out = np.zeros_like(flat)
-    b = np.cumprod(np.full(k, M3), dtype=np.uint64)
-    for i in range(min(k, flat.size)):
-        out[: flat.size - i] += flat[i:] * b[i]
-    return mix(out, M2)
-
-
 def class_ids(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """One id per text from its distinct word hashes, whatever their order."""
     return mix(np.add.reduceat(mix(flat, M1), starts), M3).view(np.int64)
 
 
-def window_of(n: np.ndarray) -> np.ndarray:
-    """Window by length: texts under 64 words keep every shingle, long ones about fifty."""
-    return np.clip(n // 32, 1, 64)
-
-
-def anchors(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text index, position, key) of the anchors of every text; texts under ``SHINGLE`` words have none."""
-    sh = rolled(flat, SHINGLE)
-    n_sh = lens - SHINGLE + 1
-    win = np.minimum(window_of(lens), np.maximum(n_sh, 1))
-    ti, ps, ks = [], [], []
-    for w in np.unique(win[n_sh > 0]):
-        idx = np.flatnonzero((win == w) & (n_sh > 0))
-        size = n_sh[idx]
-        at = np.repeat(starts[idx] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-        v = sh[at]
-        own = np.repeat(idx, size)
-        ends = np.repeat(np.cumsum(size), size)
-        here = np.arange(v.size)
-        best, arg = v.copy(), here.copy()
-        for s in range(1, int(w)):
-            nxt = np.minimum(here + s, v.size - 1)
-            less = (here + s < ends) & (v[nxt] < best)
-            best[less], arg[less] = v[nxt][less], nxt[less]
-        full = here + int(w) <= ends
-        pick = np.unique(arg[full])
-        ti.append(own[pick])
-        ps.append(at[pick] - starts[own[pick]])
-        ks.append(v[pick])
-    if not ti:
-        e = np.empty(0, np.int64)
-        return e, e, e.astype(np.uint64)
-    return np.concatenate(ti), np.concatenate(ps), np.concatenate(ks)
-
-
-_A = np.array([int(xxhash.xxh3_64_intdigest(f"a{i}")) | 1 for i in range(SIG_BITS)], np.uint64)
-
-
-def signatures(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def band_plan(classes: int, jaccard: float) -> tuple[int, int]:
+    """(minhashes of a band, bands) for so many classes.
+
+    Unlike sets share a band the less, the more minhashes it has; one is added for
+    every 25-fold number beyond four million, so blocks stay short.  The number of
+    bands follows so that a pair at the threshold is missed with probability
+    ``MISS``, whatever the size.
+    """
+    rows = 5 + max(0, math.ceil(math.log(max(classes, 1) / 4e6, 25)))
+    return rows, math.ceil(math.log(MISS) / math.log(1 - jaccard**rows))
+
+
+def _odd(name: str, i: int) -> np.uint32:
+    return np.uint32(xxhash.xxh3_64_intdigest(f"{name}{i}") & 0xFFFFFFFF | 1)
+
+
+def minhashes(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, name: str, first: int, last: int) -> np.ndarray:
+    """(hash, text) 32-bit minima of the hashes ``first`` to ``last`` of the family ``name``.
+
+    Texts of like size are laid side by side, a word per row and the last word
+    repeated in shorter ones, so a minimum is taken over whole rows at once.
+    """
+    h = (mix(flat, M3) >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((last - first, starts.size), np.uint32)
+    factors = [_odd(name, i) for i in range(first, last)]
+    order = np.argsort(sizes, kind="stable")
+    at = 0
+    while at < order.size:
+        # as many texts as fit if each had the size of the last one
+        room = np.flatnonzero(sizes[order[at:]] * np.arange(1, order.size - at + 1) > CELLS)
+        end = at + max(1, int(room[0]) if room.size else order.size - at)
+        own = order[at:end]
+        long = int(sizes[own[-1]])
+        m = np.ascontiguousarray(h[starts[own] + np.minimum(np.arange(long)[:, None], sizes[own] - 1)])
+        buf = np.empty_like(m)
+        low = np.empty((len(factors), own.size), np.uint32)
+        for i, f in enumerate(factors):
+            np.multiply(m, f, out=buf)
+            np.min(buf, axis=0, out=low[i])
+        out[:, own] = low
+        at = end
+    return out
+
+
+def signatures(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 one-bit minhashes per text as two words of 64 bits: two sets differ in a bit with probability (1 - Jaccard) / 2."""
-    h = mix(flat, M3)
+    low = minhashes(flat, starts, sizes, "s", 0, SIG_BITS).astype(np.uint64)
+    bits = (mix(low, M1) >> np.uint64(17)) & np.uint64(1)
     out = [np.zeros(starts.size, np.uint64), np.zeros(starts.size, np.uint64)]
     for i in range(SIG_BITS):
-        low = np.minimum.reduceat(h * _A[i], starts)
-        bit = (mix(low, M1) >> np.uint64(17)) & np.uint64(1)
-        out[i // 64] |= bit << np.uint64(63 - i % 64)
+        out[i // 64] |= bits[i] << np.uint64(63 - i % 64)
     return out[0], out[1]
 
 
-_B = np.array([int(xxhash.xxh3_64_intdigest(f"b{i}")) | 1 for i in range(BANDS * ROWS)], np.uint64)
+def band_keys(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, rows: int, first: int, last: int) -> np.ndarray:
+    """(band, text) hash of ``rows`` minhashes each."""
+    low = minhashes(flat, starts, sizes, "b", first * rows, last * rows).reshape(last - first, rows, starts.size)
+    k = np.repeat(np.arange(first + 1, last + 1, dtype=np.uint64)[:, None], starts.size, 1)
+    for i in range(rows):
+        k = mix(k * M2 + low[:, i].astype(np.uint64), M1)
+    return k
 
 
-def band_keys(flat: np.ndarray, starts: np.ndarray, first: int, last: int) -> np.ndarray:
-    """(band, text) hash of ``ROWS`` minhashes each: two sets share the key of a band with probability Jaccard ** ROWS."""
-    h = mix(flat, M3)
-    out = np.empty((last - first, starts.size), np.uint64)
-    for b in range(first, last):
-        k = np.full(starts.size, b + 1, np.uint64)
-        for i in range(b * ROWS, (b + 1) * ROWS):
-            k = mix(k * M2 + np.minimum.reduceat(h * _B[i], starts), M1)
-        out[b - first] = k
-    return out
-
-
-def batch_words(texts: list[str | None], h: Hasher, least: int = MIN_WORDS):
-    """Rows of a batch with at least ``least`` distinct words: (rows, flat words, starts, lens, flat distinct, starts)."""
-    rows, flat, lens, uniq, sizes = [], [], [], [], []
+def batch_words(texts: list[str | None], h: Hasher, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of a batch with at least ``least`` distinct words: (rows, hashes of the distinct words, starts, sizes)."""
+    rows, uniq, sizes = [], [], []
     for i, t in enumerate(texts):
         if not t:
             continue
-        ws = WORD.findall(t.lower())
-        s = set(ws)
+        s = set(WORD.findall(t.lower()))
         if len(s) >= least:
             rows.append(i)
-            lens.append(len(ws))
             sizes.append(len(s))
-            flat.extend([h[w] for w in ws])
             uniq.extend([h[w] for w in s])
-    ln, sz = np.array(lens, np.int64), np.array(sizes, np.int64)
-    first = lambda x: np.concatenate(([0], np.cumsum(x)[:-1])).astype(np.int64)
-    return np.array(rows, np.int64), np.array(flat, np.uint64), first(ln), ln, np.array(uniq, np.uint64), first(sz)
-
+    sz = np.array(sizes, np.int64)
+    return np.array(rows, np.int64), np.array(uniq, np.uint64), np.cumsum(sz) - sz, sz
 
-def class_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(turn_id, text, side) to (turn_id, side, cls); texts with few distinct words give no row."""
-    h = Hasher()
-    for b in batches:
-        rows, _, _, _, uq, us = batch_words(b.column("text").to_pylist(), h)
-        if rows.size:
-            take = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([b.column("turn_id").take(take), b.column("side").take(take), pa.array(class_ids(uq, us))], names=["turn_id", "side", "cls"])
-
-
-CLASS_OF = "turn_id bigint, side int, cls bigint"
 
+def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(turn_id, text, side) to (turn_id, side, cls, s0, s1, words); texts with few distinct words give no row.
 
-def word_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, tr, ev, text) to (cls, tr, ev, s0, s1, words): the signature and the distinct words."""
-    h = Hasher()
+    Signature and words come the first time a task meets a class, later copies have nulls.
+    """
+    h, seen = Hasher(), set()
     for b in batches:
-        rows, _, _, _, uq, us = batch_words(b.column("text").to_pylist(), h)
+        rows, uq, us, sz = batch_words(b.column("text").to_pylist(), h)
         if not rows.size:
             continue
-        take = pa.array(rows)
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate((us, [uq.size])).astype(np.int32)), pa.array(uq.view(np.int64)))
-        cols = [b.column(n).take(take) for n in ("cls", "tr", "ev")]
-        cols += [pa.array(s.view(np.int64)) for s in signatures(uq, us)]
-        yield pa.RecordBatch.from_arrays([*cols, lists], names=["cls", "tr", "ev", "s0", "s1", "words"])
-
-
-WORD_SETS = "cls bigint, tr int, ev int, s0 bigint, s1 bigint, words array<bigint>"
-
-
-def banded(first: int, last: int, *columns: str):
-    """``word_sets`` to one row (key, columns) per text and band."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            lists = b.column("words")
-            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            keys = band_keys(flat, np.cumsum(sizes) - sizes, first, last)
-            again = pa.array(np.tile(np.arange(b.num_rows), last - first))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), *[b.column(c).take(again) for c in columns]], names=["key", *columns])
-
-    return run
+        cls = class_ids(uq, us)
+        new = np.zeros(rows.size, bool)
+        for i, c in enumerate(cls.tolist()):
+            if c not in seen:
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(c)
+                new[i] = True
+        keep = np.repeat(new, sz)
+        n = sz[new]
+        cols = [b.column(c).take(pa.array(rows)) for c in ("turn_id", "side")] + [pa.array(cls)]
+        at = pa.array(np.where(new, np.cumsum(new) - 1, 0), mask=~new)
+        if n.size:
+            uq = uq[keep]
+            starts = np.cumsum(n) - n
+            cols += [pa.array(s.view(np.int64)).take(at) for s in signatures(uq, starts, n)]
+            cols.append(pa.ListArray.from_arrays(pa.array(np.append(starts, uq.size).astype(np.int32)), pa.array(uq.view(np.int64))).take(at))
+        else:
+            cols += [pa.nulls(rows.size, t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(cols, names=["turn_id", "side", "cls", "s0", "s1", "words"])
+
+
+SKETCH = "turn_id bigint, side int, cls bigint, s0 bigint, s1 bigint, words array<bigint>"
+
+
+def flat_words(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, sizes) of the column ``words`` of a batch."""
+    lists = b.column("words")
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum(sizes) - sizes, sizes
