@@ -22,14 +22,19 @@ _LOCAL: dict[str, str] = {}
 
 
 def get_session(app: str = "threadloom", cpus: str | int = "*", **conf: str) -> SparkSession:
-    """A local session with UTC timestamps and adaptive execution; on a cluster the submitter's session is used."""
+    """A session with UTC timestamps and adaptive execution.
+
+    It runs locally on ``cpus`` cores unless the program was submitted to a cluster,
+    a session is active or ``conf`` names a master.
+    """
     b = (
-        SparkSession.builder.master(f"local[{cpus}]")
-        .appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
+    if "spark.master" not in conf and "PYSPARK_GATEWAY_PORT" not in os.environ and SparkSession.getActiveSession() is None:
+        b = b.master(f"local[{cpus}]")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -47,6 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("on a cluster spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = tempfile.mkdtemp(prefix="threadloom-")
@@ -70,7 +77,7 @@ def spent_shuffles_removed(spark: SparkSession) -> Iterator[None]:
 
 
 class Stage:
-    """A DataFrame written to the shared folder, with the means to remove it."""
+    """A DataFrame written to the shared folder, with the means to remove it; what is left goes when the driver ends."""
 
     def __init__(self, df: DataFrame, tag: str):
         self.spark = df.sparkSession
@@ -78,11 +85,18 @@ class Stage:
         with spent_shuffles_removed(self.spark):
             df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        self._fs, self._at = file_system(self.spark, self.path)
+        self._fs.deleteOnExit(self._at)
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        self._fs.delete(self._at, True)
+        self._fs.cancelDeleteOnExit(self._at)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, local or shared, and the path as it knows it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
