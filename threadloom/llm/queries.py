@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from threadloom.session import ship_package, table
 
@@ -37,7 +38,8 @@ def queries() -> dict[str, Query]:
         "p6_new_text": _q(mail.new_text, "turns"),
         "p7_found": lambda spark, d: _q(threads.thread_verdicts, "turns", "envelopes")(spark, d).where("dropped").select("thread_id"),
         "p7_verdicts": _q(threads.thread_verdicts, "turns", "envelopes"),
-        "p7_conversations": _q(threads.conversations, "turns", "envelopes"),
+        "p7_conversations": lambda spark, d: _q(threads.conversations, "turns", "envelopes")(spark, d).withColumn("ts", F.unix_micros("ts")),
+        "p7_paths": _q(threads.paths, "turns", "envelopes"),
         "p8_pack": _q(packing.pack, "documents", "pack_budgets"),
         "p8_report": _q(packing.pack_report, "documents", "pack_budgets"),
         "p9_found": lambda spark, d: _q(leakage.leaks, "documents", "fact_probes")(spark, d).select("item_id", "doc_id"),
@@ -49,23 +51,49 @@ def queries() -> dict[str, Query]:
     }
 
 
-# Threads to be dropped, in SQL: messages by (source, source_id), bad payloads, dangling parents, one-sided threads.
-_P7 = r"""
-WITH t AS (SELECT lower(trim(source)) AS source, source_id, thread_id, text, coalesce(is_subject, false) AS subj FROM turns WHERE lower(trim(source)) IN ('imessage', 'claude_ai', 'chatgpt') AND thread_id IS NOT NULL),
-r AS (SELECT lower(trim(source)) AS source, source_id, CASE WHEN json_valid(payload) AND payload LIKE '{%' THEN payload END AS o FROM envelopes WHERE lower(trim(source)) IN ('imessage', 'claude_ai', 'chatgpt')),
-e AS (SELECT source, source_id, o IS NULL AS bad, o ->> '$.text' AS text,
+# Messages of the three sources in SQL: by (source, source_id), with bad payloads, parents, texts that show something, and dangling parents.
+_MESSAGES = r"""
+WITH RECURSIVE t AS (SELECT lower(trim(source)) AS source, source_id, thread_id, ts, author_id, text, coalesce(is_subject, false) AS subj FROM turns WHERE lower(trim(source)) IN ('imessage', 'claude_ai', 'chatgpt') AND thread_id IS NOT NULL),
+r AS (SELECT lower(trim(source)) AS source, source_id, ts, CASE WHEN json_valid(payload) AND payload LIKE '{%' THEN payload END AS o FROM envelopes WHERE lower(trim(source)) IN ('imessage', 'claude_ai', 'chatgpt')),
+e AS (SELECT source, source_id, ts, CASE source WHEN 'imessage' THEN o ->> '$.handle' WHEN 'claude_ai' THEN o ->> '$.sender' ELSE o ->> '$.role' END AS author, o IS NULL AS bad, o ->> '$.text' AS text,
   CASE source WHEN 'imessage' THEN o ->> '$.chat_guid' WHEN 'claude_ai' THEN o ->> '$.conversation_uuid' ELSE o ->> '$.conversation_id' END AS named,
   CASE source WHEN 'imessage' THEN o ->> '$.thread_originator' WHEN 'claude_ai' THEN o ->> '$.parent_message_uuid' ELSE o ->> '$.parent' END AS parent,
   coalesce(CASE source WHEN 'imessage' THEN (o ->> '$.is_from_me') = 'true' WHEN 'claude_ai' THEN (o ->> '$.sender') = 'human' ELSE (o ->> '$.role') = 'user' END, false) AS subj FROM r),
 k AS (SELECT DISTINCT source, source_id, thread_id FROM t),
-m AS (SELECT coalesce(k.thread_id, e.named) AS thread_id, e.source, e.source_id, e.bad, e.text, e.parent, e.subj FROM e LEFT JOIN k USING (source, source_id)
-  UNION ALL SELECT thread_id, source, source_id, false, text, NULL, subj FROM t),
+m AS (SELECT coalesce(k.thread_id, e.named) AS thread_id, e.source, e.source_id, e.ts, e.author, e.bad, e.text, e.parent, e.subj FROM e LEFT JOIN k USING (source, source_id)
+  UNION ALL SELECT thread_id, source, source_id, ts, author_id, false, text, NULL, subj FROM t),
 h AS (SELECT *, length(regexp_replace(coalesce(text, ''), '[\s\p{Z}\p{Cc}\p{Cf}\x{034F}\x{115F}\x{1160}\x{2800}\x{3164}\x{FE00}-\x{FE0F}\x{FFA0}\x{FFFC}]', '', 'g')) > 0 AS says FROM m),
-o AS (SELECT DISTINCT h.thread_id FROM h LEFT JOIN (SELECT DISTINCT thread_id, source, source_id AS parent, true AS there FROM h) p USING (thread_id, source, parent) WHERE coalesce(h.parent, '') <> '' AND p.there IS NULL)
-SELECT h.thread_id FROM h WHERE h.thread_id IN (SELECT thread_id FROM t) GROUP BY h.thread_id
-HAVING bool_or(bad) OR NOT bool_or(subj AND says) OR NOT bool_or(NOT subj AND says) OR h.thread_id IN (SELECT thread_id FROM o)
+o AS (SELECT DISTINCT h.thread_id FROM h LEFT JOIN (SELECT DISTINCT thread_id, source, source_id AS parent, true AS there FROM h) p USING (thread_id, source, parent) WHERE coalesce(h.parent, '') <> '' AND p.there IS NULL),
+v AS (SELECT h.thread_id, bool_or(bad) OR NOT bool_or(subj AND says) OR NOT bool_or(NOT subj AND says) OR h.thread_id IN (SELECT thread_id FROM o) AS dropped FROM h WHERE h.thread_id IN (SELECT thread_id FROM t) GROUP BY h.thread_id)
 """
 
+_P7 = _MESSAGES + "SELECT thread_id FROM v WHERE dropped"
+
+# One row per message of a kept thread, and below a root the time that no message may come before.
+_TREE = (
+    _MESSAGES
+    + r""",
+g AS (SELECT thread_id, source, source_id, min(ts) AS ts, max(author) FILTER (author <> 'unknown') AS author, max(text) AS text, max(nullif(parent, '')) AS parent, bool_or(subj) AS subj FROM h WHERE thread_id IN (SELECT thread_id FROM v WHERE NOT dropped) GROUP BY 1, 2, 3),
+w AS (SELECT thread_id, source, source_id, 0 AS depth, ts AS latest FROM g WHERE parent IS NULL UNION ALL SELECT g.thread_id, g.source, g.source_id, w.depth + 1, greatest(g.ts, w.latest) FROM w JOIN g ON g.thread_id = w.thread_id AND g.source = w.source AND g.parent = w.source_id)
+"""
+)
+_P7_CONVERSATIONS = (
+    _TREE
+    + """
+SELECT thread_id, row_number() OVER (PARTITION BY thread_id ORDER BY latest NULLS FIRST, depth, g.ts NULLS FIRST, source, source_id) AS seq,
+  CASE WHEN subj THEN 'subject' WHEN source = 'imessage' THEN 'other' ELSE 'assistant' END AS role, author, epoch_us(ts) AS ts, depth, text, source, source_id
+FROM g JOIN w USING (thread_id, source, source_id)
+"""
+)
+_P7_PATHS = (
+    _TREE
+    + """,
+l AS (SELECT w.thread_id, w.source, w.source_id, w.depth FROM w LEFT JOIN (SELECT DISTINCT thread_id, source, parent AS source_id, true AS answered FROM g WHERE parent IS NOT NULL) a USING (thread_id, source, source_id) WHERE answered IS NULL),
+u AS (SELECT thread_id, source_id AS leaf, depth + 1 AS seq, source, source_id FROM l UNION ALL SELECT u.thread_id, u.leaf, u.seq - 1, u.source, g.parent FROM u JOIN g ON g.thread_id = u.thread_id AND g.source = u.source AND g.source_id = u.source_id WHERE g.parent IS NOT NULL)
+SELECT thread_id, leaf, seq, source, source_id FROM u
+"""
+)
+
 # Probes in documents, in SQL: shared windows of twelve words.
 _P9 = r"""
 WITH w AS (SELECT item_id, regexp_extract_all(lower(strip_accents(regexp_replace(question, '\p{Cf}', '', 'g'))), '[\p{L}\p{N}]+') AS l FROM fact_probes),
@@ -77,4 +105,4 @@ SELECT DISTINCT item_id, doc_id FROM a JOIN b USING (s)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p7_found": _P7, "p9_found": _P9}
+    return {"p7_found": _P7, "p7_conversations": _P7_CONVERSATIONS, "p7_paths": _P7_PATHS, "p9_found": _P9}

@@ -69,23 +69,37 @@ def messages(turns: DataFrame, envelopes: DataFrame) -> DataFrame:
     return e.unionByName(t).withColumn("id", F.xxhash64("thread_id", "source", "source_id"))
 
 
+def pointers(m: DataFrame) -> Stage:
+    """``(id, thread_id, latest, p, orphan)`` of every message.
+
+    A message read more than once may name several parents: it is an orphan if any
+    of them is not a message of the thread, and ``p`` is one of those that are, the
+    one of least hash, or null.
+    """
+    parents = m.where("parent is not null").select("id", F.xxhash64("thread_id", "source", "parent").alias("p")).distinct()
+    known = m.select(F.col("id").alias("p")).distinct().withColumn("known", F.lit(True))
+    parents = parents.join(known, "p", "left").groupBy("id").agg(F.min(F.when(F.col("known"), F.col("p"))).alias("p"), F.max(F.col("known").isNull()).alias("orphan"))
+    own = m.groupBy("id").agg(F.first("thread_id").alias("thread_id"), F.min("ts").alias("latest"))
+    return Stage(own.join(parents, "id", "left").select("id", "thread_id", "latest", "p", F.coalesce("orphan", F.lit(False)).alias("orphan")), "pointers")
+
+
+def _rounds(first: DataFrame) -> int:
+    """Doublings that reach across the longest thread."""
+    return math.ceil(math.log2((first.groupBy("thread_id").count().agg(F.max("count")).first()[0] or 1) + 1)) + 1
+
+
 def resolve(m: DataFrame) -> DataFrame:
     """Depth and latest ancestor time of every message, by pointer jumping.
 
-    ``(id, thread_id, orphan, cycle, depth, latest)``: orphan if its parent is not
-    a message of the thread, cycle if its parents never end.  Each round a pointer
+    ``(id, thread_id, orphan, cycle, depth, latest)``: orphan if a parent it names is
+    not a message of the thread, cycle if its parents never end.  Each round a pointer
     jumps to where its target points, so a chain of n messages takes log2(n) joins.
     """
-    parents = m.where("parent is not null").groupBy("id").agg(F.min(F.xxhash64("thread_id", "source", "parent")).alias("p"))
-    own = m.groupBy("id").agg(F.first("thread_id").alias("thread_id"), F.min("ts").alias("latest"))
-    own = own.join(parents, "id", "left")
-    known = m.select(F.col("id").alias("p")).distinct().withColumn("known", F.lit(True))
-    first = Stage(own.join(known, "p", "left").select("id", "thread_id", "latest", "p", (F.col("p").isNotNull() & F.col("known").isNull()).alias("orphan")), "pointers")
+    first = pointers(m)
     # settled: reached a root; open: still pointing somewhere
-    done = first.df.where("p is null or orphan").select("id", "thread_id", "orphan", F.lit(False).alias("cycle"), F.lit(0).alias("depth"), "latest")
-    state = Stage(first.df.select("id", F.when(F.col("orphan"), None).otherwise(F.col("p")).alias("p"), F.when(F.col("p").isNull() | F.col("orphan"), 0).otherwise(1).alias("depth"), "latest"), "jump")
-    longest = own.groupBy("thread_id").count().agg(F.max("count")).first()[0] or 1
-    for _ in range(math.ceil(math.log2(longest + 1)) + 1):
+    done = first.df.where("p is null").select("id", "thread_id", "orphan", F.lit(False).alias("cycle"), F.lit(0).alias("depth"), "latest")
+    state = Stage(first.df.select("id", "p", F.when(F.col("p").isNull(), 0).otherwise(1).alias("depth"), "latest"), "jump")
+    for _ in range(_rounds(first.df)):
         if not state.df.where("p is not null").head(1):
             break
         to = state.df.select(F.col("id").alias("p"), F.col("p").alias("p2"), F.col("depth").alias("d2"), F.col("latest").alias("l2"))
@@ -93,10 +107,40 @@ def resolve(m: DataFrame) -> DataFrame:
         new = Stage(state.df.where("p is null").unionByName(nxt), "jump")
         state.drop()
         state = new
-    open_ = first.df.where("p is not null and not orphan").select("id", "thread_id", "orphan").join(state.df, "id")
+    open_ = first.df.where("p is not null").select("id", "thread_id", "orphan").join(state.df, "id")
     return done.unionByName(open_.withColumn("cycle", F.col("p").isNotNull()).select("id", "thread_id", "orphan", "cycle", "depth", "latest"))
 
 
+def paths(turns: DataFrame, envelopes: DataFrame) -> DataFrame:
+    """Every way from a message without replies up to its root, in kept threads: ``(thread_id, leaf, seq, source, source_id)``.
+
+    ``leaf`` is the source_id at the end of the path, ``seq`` counts from the root
+    (1).  A branched thread has a path per branch, and what comes before the
+    branching is in each; a message that neither answers nor is answered is a path
+    of its own; messages whose parents form a cycle are in none.  Steps of 1, 2, 4, ...
+    ancestors are joined from the widest down, so a chain of n takes log2(n) joins.
+    """
+    m = Stage(messages(turns, envelopes).drop("text", "author"), "messages")
+    r = Stage(resolve(m.df), "resolved")
+    kept = _verdicts(m.df, r.df).where("not dropped").select("thread_id")
+    first = pointers(m.df)
+    ok = r.df.where("not cycle").join(kept, "thread_id", "left_semi").select("id", "depth")
+    step = first.df.where("p is not null").select("id", "p")
+    leaves = ok.join(step.select(F.col("p").alias("id")).distinct(), "id", "left_anti")
+    deepest = leaves.agg(F.max("depth")).first()[0] or 0
+    steps = [Stage(step.join(ok.select("id"), "id", "left_semi"), "steps")]
+    while 2 ** len(steps) <= deepest:
+        d = steps[-1].df
+        steps.append(Stage(d.join(d.select(F.col("id").alias("p"), F.col("p").alias("q")), "p").select("id", F.col("q").alias("p")), "steps"))
+    at = leaves.select(F.col("id").alias("leaf"), "id", F.col("depth").alias("above"))
+    for k in range(len(steps) - 1, -1, -1):
+        up = at.join(steps[k].df, "id").select("leaf", F.col("p").alias("id"), (F.col("above") - 2**k).alias("above"))
+        at = at.unionByName(up)
+    name = m.df.groupBy("id").agg(F.first("thread_id").alias("thread_id"), F.first("source").alias("source"), F.first("source_id").alias("source_id"))
+    end = name.select(F.col("id").alias("leaf"), F.col("source_id").alias("leaf_id"))
+    return at.join(name, "id").join(end, "leaf").select("thread_id", F.col("leaf_id").alias("leaf"), (F.col("above") + 1).alias("seq"), "source", "source_id")
+
+
 def _verdicts(m: DataFrame, pointers: DataFrame) -> DataFrame:
     both = m.groupBy("thread_id").agg(
         F.max("is_turn").alias("stored"),
@@ -113,8 +157,8 @@ def _verdicts(m: DataFrame, pointers: DataFrame) -> DataFrame:
 def thread_verdicts(turns: DataFrame, envelopes: DataFrame) -> DataFrame:
     """One row per thread of the three sources: why it is dropped, or that it is kept.
 
-    Dropped: an envelope's payload is not a JSON object, a parent names a message
-    that is not in the thread, or the subject or everybody else has no message with
+    Dropped: an envelope's payload is not a JSON object, a parent that any copy of a
+    message names is not a message of the thread, or the subject or everybody else has no message with
     text.  A cycle of parents is counted (``n_cyclic``) and does not drop a thread:
     its messages are ordered by time.  Turns without thread id and other sources
     take no part; empty tables give no rows.
