@@ -9,5 +9,5 @@ LEAST = {
 
 def test_audit_finds_the_least_example_of_every_secret(spark):
     assert set(LEAST) == set(SECRETS)
-    d = spark.createDataFrame([(k, f"see {v} here", "a", True) for k, v in LEAST.items()], "source_id string, text string, author_id string, is_subject boolean")
+    d = spark.createDataFrame([("mail", k, f"see {v} here", "a", True) for k, v in LEAST.items()], "source string, source_id string, text string, author_id string, is_subject boolean")
     assert {r["finding"]: r["n"] for r in audit(d, []).collect()} == {"secret": len(SECRETS)}

@@ -159,6 +159,12 @@ def entropy_of(token: Column) -> Column:
     )
 
 
+def has_secret(text: Column, threshold: float = ENTROPY) -> Column:
+    """Whether a text holds a vendor's key or a token of high entropy, without Python; false for null."""
+    tokens = F.regexp_extract_all(text, F.lit(f"({CANDIDATE})"), 1)
+    return F.coalesce(text.rlike("|".join(SECRETS.values())) | F.exists(tokens, lambda x: entropy_of(x) >= threshold), F.lit(False))
+
+
 def _quoted(needles: list[str]) -> list[str]:
     return sorted({n.strip() for n in needles if n and len(n.strip()) >= 3}, key=lambda n: (-len(n), n))
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 PUNCTUATION = ".,;:!?—-()[]\"'"
 FUNCTION_WORDS = ("the", "a", "to", "and", "i", "it", "that", "is", "of", "you", "for", "in", "but", "so", "just", "not", "have", "do")
 
+# Fixed value: the tokens of a question's shape.
+SHAPE_TOKEN = r"([A-Za-z0-9.+#-]+)"
+
 SPACE = r"[\s\x1c-\x1f\x85 ]"
 _PUNCT_CLASS = r"[.,;:!?—\-()\[\]\"']"
 
@@ -96,7 +99,7 @@ def short_hash(n: int, *parts: Column) -> Column:
 
 def question_shape(c: Column) -> Column:
     """A question without words that are capitalised or hold a digit (the first is kept), in small letters."""
-    toks = F.regexp_extract_all(c, F.lit(r"([A-Za-z0-9.+#-]+)"), 1)
+    toks = F.regexp_extract_all(c, F.lit(SHAPE_TOKEN), 1)
     kept = F.filter(toks, lambda t, i: (i == 0) | ~t.rlike(r"^[A-Z]|[0-9]"))
     return F.lower(F.array_join(kept, " "))
 

@@ -61,6 +61,11 @@ ATTRIBUTES = {
 }
 
 
+# What counts as a topic, and the phrases that are none.
+TOPIC = r"\b([A-Z][A-Za-z0-9.+#-]{2,}(?: [A-Z][A-Za-z0-9.+#-]{2,}){0,2})\b"
+TOPIC_STOP = ("i", "the", "this", "that", "and")
+
+
 def build_trials(pairs: DataFrame, candidates: DataFrame, seed: int = 0) -> DataFrame:
     """One blind trial per thread: a reply, its generated rival, and which side the real one is on.
 
@@ -186,7 +191,7 @@ def answerable_rows(turns: DataFrame, entities: Mapping[str, str], floor: int =
     return c.select("entity", "attribute", "question", "entity_hits", "attribute_hits")
 
 
-def worksheet_lines(train: DataFrame, heldout: DataFrame, limit: int = PER_CATEGORY) -> DataFrame:
+def worksheet_lines(train: DataFrame, heldout: DataFrame, limit: int = PER_CATEGORY, categories: Mapping[str, str] = CATEGORIES, sensitive: str = SENSITIVE) -> DataFrame:
     """Per category the longest distinct lines of checkable claims that no held-out text equals.
 
     ``(category, rank, line, withheld)``: texts of 80 to 600 characters, sensitive
@@ -194,10 +199,10 @@ def worksheet_lines(train: DataFrame, heldout: DataFrame, limit: int = PER_CATEG
     of a category (it is a top-k list).
     """
     t = train.select(collapse_space(F.col("text")).alias("line"), "source_id").where(F.length("line").between(MIN_CHARS, MAX_CHARS))
-    hit = F.array_compact(F.array(*[F.when(F.col("line").rlike(_any_case(p)), F.lit(c)) for c, p in CATEGORIES.items()]))
+    hit = F.array_compact(F.array(*[F.when(F.col("line").rlike(_any_case(p)), F.lit(c)) for c, p in categories.items()]))
     t = t.withColumn("category", F.explode(hit))
     h = heldout.select(collapse_space(F.col("text")).alias("line")).distinct()
-    t = t.join(h, "line", "left_anti").withColumn("bad", F.col("line").rlike(_any_case(SENSITIVE))).withColumn("key", dedupe_key(F.col("line")))
+    t = t.join(h, "line", "left_anti").withColumn("bad", F.col("line").rlike(_any_case(sensitive))).withColumn("key", dedupe_key(F.col("line")))
     n = t.groupBy("category").agg(F.count_if("bad").alias("withheld"))
     best = t.where("not bad").groupBy("category", "key").agg(F.min(F.struct((-F.length("line")).alias("l"), "line")).alias("b"))
     w = Window.partitionBy("category").orderBy("b.l", "b.line")
@@ -207,9 +212,9 @@ def worksheet_lines(train: DataFrame, heldout: DataFrame, limit: int = PER_CATEG
 
 def topics(turns: DataFrame, limit: int = 40, least: int = 5) -> DataFrame:
     """Recurring capitalised phrases of one to three words, the most frequent first (ties by the phrase)."""
-    rx = r"(?U)\b([A-Z][A-Za-z0-9.+#-]{2,}(?: [A-Z][A-Za-z0-9.+#-]{2,}){0,2})\b"
+    rx = f"(?U){TOPIC}"
     t = turns.select(F.explode(F.regexp_extract_all("text", F.lit(rx), 1)).alias("phrase"))
-    t = t.where(~F.lower("phrase").isin("i", "the", "this", "that", "and")).groupBy("phrase").agg(F.count("*").alias("n"))
+    t = t.where(~F.lower("phrase").isin(*TOPIC_STOP)).groupBy("phrase").agg(F.count("*").alias("n"))
     return t.orderBy(F.desc("n"), "phrase").limit(limit * 3).where(F.col("n") >= least).orderBy(F.desc("n"), "phrase").limit(limit)
 
 

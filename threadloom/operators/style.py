@@ -2,33 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.text import FUNCTION_WORDS, n_punctuation, n_symbols, n_upper, words
+from threadloom.session import Stage
 
 SCALARS = ("mean_len", "median_len", "len_stdev", "burstiness", "punct_rate", "emoji_rate", "upper_rate", "type_token_ratio")
 FIELDS = SCALARS + tuple(f"fw:{w}" for w in FUNCTION_WORDS)
 MIN_SIDE = 4
 
 
+def measured(texts: DataFrame, text: str = "text") -> DataFrame:
+    """Adds what a fingerprint needs of every text, taken once: ``_len``, ``_punct``, ``_e``, ``_u`` and its ``_words``; null texts count as empty."""
+    t = texts.withColumn(text, F.coalesce(F.col(text), F.lit("")))
+    c = F.col(text)
+    return t.withColumns({"_len": F.length(c), "_punct": n_punctuation(c), "_e": n_symbols(c), "_u": n_upper(c), "_words": words(c)})
+
+
 def fingerprint(texts: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     """One row per group of ``keys`` with the measures of its texts; words are taken text by text.
 
     Null texts count as empty; a group without characters has rates of 0, one
     without words a ratio of 0.  The median is the exact interpolated one.
     """
-    t = texts.withColumn(text, F.coalesce(F.col(text), F.lit("")))
+    return _fingerprint(measured(texts, text), *keys)
+
+
+def _fingerprint(t: DataFrame, *keys: str) -> DataFrame:
     keys_ = [F.col(k) for k in keys]
     size = F.greatest(F.sum("_len"), F.lit(1))
-    base = t.select(*keys_, F.length(text).alias("_len"), n_punctuation(F.col(text)).alias("_p"), n_symbols(F.col(text)).alias("_e"), n_upper(F.col(text)).alias("_u"))
-    a = base.groupBy(*keys).agg(
+    a = t.groupBy(*keys).agg(
         F.count("*").alias("n"), F.avg("_len").alias("mean_len"), F.median("_len").alias("median_len"), F.coalesce(F.stddev_pop("_len"), F.lit(0.0)).alias("len_stdev"),
-        (F.sum("_p") / size).alias("punct_rate"), (F.sum("_e") / size).alias("emoji_rate"), (F.sum("_u") / size).alias("upper_rate"),
+        (F.sum("_punct") / size).alias("punct_rate"), (F.sum("_e") / size).alias("emoji_rate"), (F.sum("_u") / size).alias("upper_rate"),
     )
     a = a.withColumn("burstiness", F.when(F.col("mean_len") > 0, F.col("len_stdev") / F.col("mean_len")).otherwise(0.0))
-    w = t.select(*keys_, F.explode(words(F.col(text))).alias("_w")).groupBy(*keys, "_w").agg(F.count("*").alias("_n"))
+    w = t.select(*keys_, F.explode("_words").alias("_w")).groupBy(*keys, "_w").agg(F.count("*").alias("_n"))
     total = F.greatest(F.coalesce(F.sum("_n"), F.lit(0)), F.lit(1))
     w = w.groupBy(*keys).agg((F.count("*") / total).alias("type_token_ratio"), *[(F.coalesce(F.sum(F.when(F.col("_w") == x, F.col("_n"))), F.lit(0)) / total).alias(f"fw:{x}") for x in FUNCTION_WORDS])
     if keys:
@@ -56,44 +68,72 @@ def thread_mass_cap(turns: DataFrame, *keys: str) -> DataFrame:
     return turns.groupBy(*keys).agg(cap) if keys else turns.agg(cap)
 
 
+def drawable(turns: DataFrame, seed: int, key: str) -> DataFrame:
+    """Turns with their place ``_p`` in a seeded order of their thread, its size ``_n``, the start and step of its draws, and ``cap``.
+
+    The place is a rank among the turns of like hash plus the count of smaller
+    hashes, so a thread of any length is sorted in parts.
+    """
+    t = turns.where("thread_id is not null")
+    t = t.withColumn("_h", F.sha2(F.concat_ws(":", F.lit(seed), F.lit("order"), "thread_id", F.col(key)), 256)).withColumn("_slot", F.substring("_h", 1, 2))
+    w = Window.partitionBy("thread_id")
+    slots = t.groupBy("thread_id", "_slot").agg(F.count("*").alias("_c"))
+    slots = slots.withColumn("_before", F.sum("_c").over(w.orderBy("_slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_c")).withColumn("_n", F.sum("_c").over(w)).drop("_c")
+    t = t.withColumn("_r", F.row_number().over(Window.partitionBy("thread_id", "_slot").orderBy("_h"))).join(slots, ["thread_id", "_slot"])
+    d = F.sha2(F.concat_ws(":", F.lit(seed), F.lit("draw"), "thread_id"), 256)
+    number = lambda at: F.conv(F.substring(d, at, 8), 16, 10).cast("bigint")
+    t = t.withColumns({"_p": F.col("_before") + F.col("_r") - 1, "_start": number(1), "_step": number(9)}).drop("_h", "_slot", "_r", "_before")
+    return t.join(F.broadcast(thread_mass_cap(turns)))  # one row
+
+
+def drawn(t: DataFrame, trials: int) -> DataFrame:
+    """A row per turn of ``drawable`` and trial that takes it.
+
+    A trial takes ``cap`` turns in a row of a thread's order, which is a circle; where
+    they begin moves by the thread's step.  So only rows that are taken are ever made.
+    """
+    hit = lambda j: F.pmod(F.col("_p") - F.col("_start") - j * F.col("_step"), F.col("_n")) < F.col("cap")
+    every = F.sequence(F.lit(0), F.lit(trials - 1)).cast("array<bigint>")
+    return t.withColumn("trial", F.explode(F.filter(every, hit))).drop("_p", "_n", "_start", "_step", "cap")
+
+
 def mass_balanced_sample(turns: DataFrame, seed: int = 0, key: str = "source_id", trials: int = 1) -> DataFrame:
-    """For every trial up to ``cap`` turns of each thread, those with the smallest seeded hashes."""
-    cap = thread_mass_cap(turns)
-    t = turns.where("thread_id is not null").join(F.broadcast(cap))  # one row
-    t = t.join(F.broadcast(turns.sparkSession.range(trials).withColumnRenamed("id", "trial")))  # a row per trial
-    order = F.sha2(F.concat_ws(":", F.lit(seed), "trial", "thread_id", F.col(key)), 256)
-    w = Window.partitionBy("trial", "thread_id").orderBy(order)
-    return t.withColumn("_r", F.row_number().over(w)).where("_r <= cap").drop("_r", "cap")
-
-
-def _halves(seed: int):
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("order", kind="stable")
-        left = right = 0
+    """For every trial up to ``cap`` turns of each thread, drawn by seeded hashes; turns without thread are in none."""
+    return drawn(drawable(turns, seed, key), trials)
+
+
+def _halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    trial, left, right = None, 0, 0
+    for pdf in batches:
         sides = []
-        for n in pdf["size"].tolist():
+        for t, n in zip(pdf["trial"].tolist(), pdf["size"].tolist()):
+            if t != trial:
+                trial, left, right = t, 0, 0
+            sides.append("left" if left <= right else "right")
             if left <= right:
-                sides.append("left")
                 left += n
             else:
-                sides.append("right")
                 right += n
-        return pd.DataFrame({"trial": key[0], "thread_id": pdf["thread_id"].to_numpy(), "side": sides})
-
-    return run
+        yield pd.DataFrame({"trial": pdf["trial"], "thread_id": pdf["thread_id"], "side": sides})
 
 
 def balanced_halves(sample: DataFrame, seed: int = 0) -> DataFrame:
-    """Whole threads of every trial, in a seeded order, each to the lighter side.  ``(trial, thread_id, side)``; only sizes reach Python."""
+    """Whole threads of every trial, in a seeded order, each to the lighter side.  ``(trial, thread_id, side)``.
+
+    The rule is sequential: a trial's threads stream through one task in batches, and
+    only their sizes reach it.
+    """
     sizes = sample.groupBy("trial", "thread_id").agg(F.count("*").alias("size")).withColumn("order", F.sha2(F.concat_ws(":", F.lit(seed), F.lit("half"), "trial", "thread_id"), 256))
-    return sizes.groupBy("trial").applyInPandas(_halves(seed), "trial bigint, thread_id string, side string")
+    return sizes.repartition("trial").sortWithinPartitions("trial", "order").drop("order").mapInPandas(_halves, "trial bigint, thread_id string, side string")
 
 
 def trial_fingerprints(turns: DataFrame, trials: int, seed: int, key: str) -> DataFrame:
-    sample = mass_balanced_sample(turns, seed, key, trials)
-    sides = balanced_halves(sample, seed)
+    """Fingerprints of both halves of every trial, with the set of threads each half has; texts are measured once, not once per trial."""
+    t = Stage(drawable(measured(turns.select("thread_id", key, "text")), seed, key).drop("text", key), "drawable").df
+    sample = drawn(t, trials)
+    sides = balanced_halves(drawn(t.drop("_words", "_len", "_punct", "_e", "_u"), trials), seed)
     both = sample.join(sides, ["trial", "thread_id"])
-    fp = fingerprint(both, "trial", "side")
+    fp = _fingerprint(both, "trial", "side")
     part = sides.groupBy("trial", "side").agg(F.min("thread_id").alias("_m"), F.sha2(F.array_join(F.sort_array(F.collect_set("thread_id")), "\x00"), 256).alias("_k"))
     return fp.join(part, ["trial", "side"])
 
@@ -135,7 +175,8 @@ def corpus_distance(a: DataFrame, b: DataFrame, band: DataFrame, draws: int = 25
     """Mean distance of mass-balanced samples of two bodies of turns in a band's units; null if the band was refused or a side is empty."""
     flat = [F.col(f"`{f}`").alias(f) for f in FIELDS]
     side = lambda c: {f: F.col(c)[f] for f in FIELDS}
-    fa = fingerprint(mass_balanced_sample(a, seed, key, draws), "trial").select("trial", F.struct(*flat).alias("a"))
-    fb = fingerprint(mass_balanced_sample(b, seed + 1, key, draws), "trial").select("trial", F.struct(*flat).alias("b"))
+    some = lambda d, n: _fingerprint(drawn(drawable(measured(d.select("thread_id", key, "text")), n, key), draws), "trial")
+    fa = some(a, seed).select("trial", F.struct(*flat).alias("a"))
+    fb = some(b, seed + 1).select("trial", F.struct(*flat).alias("b"))
     j = fa.join(fb, "trial").join(F.broadcast(band.where("reason = ''").select(F.col("scales").alias("s"))))
     return j.agg(F.avg(distance(side("a"), side("b"), side("s"))).alias("distance"), F.count("*").alias("draws"))

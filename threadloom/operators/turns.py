@@ -72,10 +72,14 @@ def normalize(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def is_quarantined(ts: Column, now: Column, weeks: int = QUARANTINE_WEEKS) -> Column:
+    """Younger than so many weeks; the boundary itself is not. Null for a null time."""
+    return ts > now - F.make_interval(weeks=F.lit(weeks))
+
+
 def split_name(thread: Column, ts: Column, now: Column, weeks: int = QUARANTINE_WEEKS, percent: int = HELDOUT_PERCENT) -> Column:
     """``quarantined`` if younger than ``weeks``, else ``heldout`` by the thread's bucket, else ``train``."""
-    recent = ts > now - F.make_interval(weeks=F.lit(weeks))
-    return F.when(recent, "quarantined").when(thread_bucket(thread) < percent, "heldout").otherwise("train")
+    return F.when(is_quarantined(ts, now, weeks), "quarantined").when(thread_bucket(thread) < percent, "heldout").otherwise("train")
 
 
 def split_corpus(turns: DataFrame, now: Column, weeks: int = QUARANTINE_WEEKS) -> DataFrame:

@@ -11,11 +11,11 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from threadloom.functions.scrub import SUSPECT, classify, identity_map, identity_pattern, marked, matching_view, pseudonymize, redact, scrub_identity, secret_spans
+from threadloom.functions.scrub import classify, confidential_source, has_secret, identity_map, identity_pattern, marked, matching_view, pseudonymize, redact, scrub_identity
+from threadloom.functions.text import source_key, truncate_id
 from threadloom.operators.turns import normalize, vault_dedupe
 from threadloom.session import Stage
 
@@ -51,30 +51,31 @@ def build_report(d: DataFrame) -> DataFrame:
     )
 
 
-def audit(turns: DataFrame, needles: list[str]) -> DataFrame:
-    """Findings in a corpus that should have none: ``(finding, n, examples)`` with up to five ids each.
+def audit(turns: DataFrame, needles: list[str], examples: int = 5) -> DataFrame:
+    """Findings in a corpus that should have none: ``(finding, n, examples)``, the first few places in order.
 
-    secret, confidential content, author of another person that is no pseudonym, and name in the text.
+    secret, confidential content, author of another person that is no pseudonym, and
+    name in the text.  A place is ``source:source_id``; of a raw author it shows the
+    first characters and the length, never the whole.
     """
     p = identity_pattern(needles)
-    v = matching_view(turns)
-
-    @F.udf(T.BooleanType())
-    def has_secret(x):
-        return bool(x) and bool(secret_spans(x))
-
-    suspect = F.col("text").rlike(SUSPECT)
+    v = matching_view(turns).withColumn("at", F.concat_ws(":", source_key(F.col("source")), "source_id"))
+    author = F.coalesce("author_id", F.lit(""))
+    shown = F.concat(F.col("at"), F.lit(" author="), truncate_id(author))
+    raw = ~F.coalesce("is_subject", F.lit(False)) & ~author.rlike("^P-[0-9a-f]{12}$")
     checks = {
-        "confidential": marked(F.col("view")),
-        "raw_author": ~F.coalesce("is_subject", F.lit(False)) & ~F.coalesce(F.col("author_id").rlike("^P-[0-9a-f]{12}$"), F.lit(False)),
-        "name": F.lit(False) if p is None else F.coalesce(F.col("text").rlike(p), F.lit(False)),
+        "confidential": (confidential_source(F.col("source")) | marked(F.col("view")), F.col("at")),
+        "raw_author": (raw, shown),
+        "name": (F.lit(False) if p is None else F.coalesce(F.col("text").rlike(p), F.lit(False)), F.col("at")),
     }
-    flags = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
-    rows = v.select("source_id", F.explode(flags).alias("finding"))
-    rows = rows.unionByName(v.where(suspect).where(has_secret(F.col("text"))).select("source_id", F.lit("secret").alias("finding")))
-    top = F.slice(F.array_sort(F.collect_set("source_id")), 1, 5)
-    few = rows.groupBy("finding", F.pmod(F.xxhash64("source_id"), F.lit(64)).alias("s")).agg(F.count("*").alias("n"), F.min("source_id").alias("source_id"))
-    return few.groupBy("finding").agg(F.sum("n").alias("n"), top.alias("examples"))
+    flags = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(n).alias("finding"), at.alias("at"))) for n, (c, at) in checks.items()]))
+    rows = v.select(F.explode(flags).alias("f")).select("f.*")
+    rows = rows.unionByName(v.where(has_secret(F.col("text"))).select(F.lit("secret").alias("finding"), "at"))
+    per = rows.groupBy("finding", "at").agg(F.count("*").alias("n"))
+    n = per.groupBy("finding").agg(F.sum("n").alias("n"))
+    # a rank with a limit: each task keeps the first few of a finding before anything is sent
+    first = per.withColumn("r", F.row_number().over(Window.partitionBy("finding").orderBy("at"))).where(F.col("r") <= examples)
+    return n.join(first.groupBy("finding").agg(F.array_sort(F.collect_list("at")).alias("examples")), "finding")
 
 
 class VersionExists(Exception):

@@ -66,10 +66,9 @@ def split_by_thread(t):
     return ops.split_corpus(t("turns"), _now()).select("turn_id", "split", text.thread_bucket(F.col("thread_id")).alias("bucket"))
 
 
-@query(f"SELECT turn_id, epoch_us(ts) > {_MICROS} - 12::BIGINT * 7 * 86400 * 1000000 AS quarantined FROM turns")
+@query(f"SELECT turn_id, coalesce(epoch_us(ts) > {_MICROS} - 12::BIGINT * 7 * 86400 * 1000000, false) AS quarantined FROM turns")
 def quarantine_split(t):
-    d = t("turns")
-    return d.select("turn_id", (F.col("ts") > _now() - F.make_interval(weeks=F.lit(12))).alias("quarantined"))
+    return t("turns").select("turn_id", F.coalesce(ops.is_quarantined(F.col("ts"), _now()), F.lit(False)).alias("quarantined"))
 
 
 def _unique_turns(t) -> DataFrame:
@@ -171,27 +170,60 @@ def orphan_threads(t):
     return t("turns").groupBy(text.source_key(F.col("source")).alias("source")).agg(F.count("*").alias("n"), F.count_if(F.col("thread_id").contains(":orphan:")).alias("n_orphans"))
 
 
-@query("WITH o AS (SELECT * FROM turns WHERE corpus_version = 'v3'), n AS (SELECT * FROM turns WHERE corpus_version = 'v4'), a AS (SELECT lower(trim(source)) || ':' || turn_id AS k, text FROM o), b AS (SELECT lower(trim(source)) || ':' || turn_id AS k, text FROM n) SELECT count(*) FILTER (b.k IS NULL) AS dropped, count(*) FILTER (a.k IS NULL) AS added, count(*) FILTER (a.k IS NOT NULL AND b.k IS NOT NULL AND a.text IS DISTINCT FROM b.text) AS rewritten, count(*) FILTER (a.k IS NOT NULL AND b.k IS NOT NULL AND a.text IS NOT DISTINCT FROM b.text) AS kept FROM a FULL JOIN b ON a.k = b.k")
+_VERSION = "(SELECT lower(trim(source)) AS source, source_id, text FROM turns WHERE corpus_version = '{}' QUALIFY row_number() OVER (PARTITION BY lower(trim(source)), source_id ORDER BY turn_id) = 1)"
+
+
+@query(f"SELECT count(*) FILTER (b.source_id IS NULL) AS dropped, count(*) FILTER (a.source_id IS NULL) AS added, count(*) FILTER (a.source_id IS NOT NULL AND b.source_id IS NOT NULL AND a.text IS DISTINCT FROM b.text) AS rewritten, count(*) FILTER (a.source_id IS NOT NULL AND b.source_id IS NOT NULL AND a.text IS NOT DISTINCT FROM b.text) AS kept FROM {_VERSION.format('v3')} a FULL JOIN {_VERSION.format('v4')} b ON a.source = b.source AND a.source_id = b.source_id")
 def golden_diff(t):
-    d = t("turns").withColumn("source", text.source_key(F.col("source"))).withColumn("source_id", F.col("turn_id"))
-    return ops.golden_diff(d.where("corpus_version = 'v3'"), d.where("corpus_version = 'v4'"))
+    """From version 3 to version 4; a message read twice stands in a version once."""
+    one = lambda v: t("turns").where(F.col("corpus_version") == v).withColumn("source", text.source_key(F.col("source"))).groupBy("source", "source_id").agg(F.min(F.struct("turn_id", "text"))["text"].alias("text"))
+    return ops.golden_diff(one("v3"), one("v4"))
 
 
 # scrubbing
 
-
-@query()
+# The markers' view in SQL: the only character of the tables that NFKC changes for them is the no-break space.
+_VIEW = "regexp_replace(regexp_replace(nfc_normalize(replace({}, chr(160), ' ')), '\\p{{Cf}}', '', 'g'), '[\\p{{Pd}}\\x{{2212}}]', '-', 'g')"
+_W = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}"
+_S = r"[\s\x0B\x1c-\x1f\x{85}\p{Z}]"
+_SEP = rf"[-. ]{_S}{{0,4}}"
+_NOUN = r"(?:routing|aba|account|acct|a/c)\.?"
+_NUMBER = rf"(?:{_S}+(?:(?:number|nbr|num|no)\.?(?:[^a-zA-Z]|$)|#)|#)"
+_MARKERS = {
+    "ssn": rf"\p{{Nd}}{{3}}{_SEP}\p{{Nd}}{{2}}{_SEP}\p{{Nd}}{{4}}",
+    "ein": rf"\p{{Nd}}{{2}}{_SEP}\p{{Nd}}{{7}}",
+    "nine_digits": r"\p{Nd}{9,}",
+    "grouped": rf"\p{{Nd}}{{4}}{_SEP}\p{{Nd}}{{4}}{_SEP}\p{{Nd}}{{4}}",
+    "routing_number": rf"(?i)(?:^|[^{_W}])(?:routing|aba)\.?{_NUMBER}",
+    "account_number": rf"(?i)(?:^|[^{_W}])(?:account|acct|a/c)\.?{_NUMBER}",
+    "noun_digits": rf"(?i)(?:^|[^{_W}]){_NOUN}{_S}*:?{_S}*\p{{Nd}}{{4,}}",
+}
+_ANY_MARKER = "(" + " OR ".join(f"regexp_matches(v, '{p}')" for p in _MARKERS.values()) + ")"
+_KARBON = f"({SRC} = 'karbon' OR {SRC} LIKE 'karbon\\_%' ESCAPE '\\')"
+# Secrets in SQL: the vendors' shapes, or a token of high entropy.
+_TOKEN = r"[A-Za-z0-9+/=_\-]{24,}"
+_ENTROPY = "-list_sum(list_transform(list_distinct(string_split(x, '')), lambda c: (length(x) - length(replace(x, c, ''))) / length(x) * log2((length(x) - length(replace(x, c, ''))) / length(x))))"
+_SHAPES = "|".join(scrub.SECRETS.values())
+_HAS_SECRET = f"(regexp_matches(text, '{_SHAPES}') OR len(list_filter(regexp_extract_all(text, '{_TOKEN}'), lambda x: {_ENTROPY} >= 3.9)) > 0)"
+# Names of the subjects in SQL, longest first, as whole words in any case.
+_NAMES = "(SELECT string_agg(regexp_escape(n), '|' ORDER BY length(n) DESC, n) FROM (SELECT DISTINCT trim(n) AS n FROM (SELECT display_name AS n FROM subjects UNION ALL SELECT unnest(aliases) FROM subjects)) WHERE length(n) >= 3)"
+_NAMED = f"regexp_matches(text, '(?i)(?:^|[^{_W}])(?:' || {_NAMES} || ')(?:$|[^{_W}])')"
+
+
+@query(f"WITH d AS (SELECT {SRC} AS source, {_KARBON} AS named, {_VIEW.format('text')} AS v FROM turns WHERE text IS NOT NULL) SELECT source, CASE WHEN named OR {_ANY_MARKER} THEN 'confidential' ELSE 'open' END AS tier, count(*) AS n FROM d GROUP BY 1, 2")
 def classify_turns(t):
     d = scrub.classify(t("turns").where("text is not null"))
     return d.groupBy(text.source_key(F.col("source")).alias("source"), "tier").agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id FROM documents WHERE regexp_matches(text, '[0-9]{9,}')")
-def nine_digit_documents(t):
-    return t("documents").where(F.col("text").rlike(r"[0-9]{9,}")).select("doc_id")
+@query(f"SELECT doc_id FROM (SELECT doc_id, {_VIEW.format('text')} AS v FROM documents WHERE text IS NOT NULL) WHERE {_ANY_MARKER}")
+def marked_documents(t):
+    """Documents that hold any of the markers."""
+    v = scrub.matching_view(t("documents").where("text is not null").select("doc_id", "text"))
+    return v.where(scrub.marked(F.col("view"))).select("doc_id")
 
 
-@query()
+@query(f"WITH d AS (SELECT {_VIEW.format('text')} AS v FROM turns WHERE text IS NOT NULL) " + " UNION ALL ".join(f"SELECT '{n}' AS marker, count(*) AS n FROM d WHERE regexp_matches(v, '{p}') HAVING count(*) > 0" for n, p in _MARKERS.items()))
 def marker_counts(t):
     """Turns per marker, each counted over all of them."""
     v = scrub.matching_view(t("turns").where("text is not null").select("turn_id", "text"))
@@ -220,7 +252,10 @@ def secret_tokens(t):
     return s.groupBy("doc_id").agg(F.count("*").alias("n_tokens"), F.count_if(F.col("entropy") >= 3.5).alias("n_low"), F.count_if(F.col("entropy") >= 3.9).alias("n_high"))
 
 
-@query()
+_PIECES = f"list_zip(regexp_split_to_array(text, '{_TOKEN}'), list_transform(regexp_extract_all(text, '{_TOKEN}'), lambda x: CASE WHEN {_ENTROPY} >= 3.5 THEN '[REDACTED]' ELSE x END))"
+
+
+@query(f"SELECT doc_id, redacted FROM (SELECT doc_id, text, array_to_string(list_transform({_PIECES}, lambda p: coalesce(p[1], '') || coalesce(p[2], '')), '') AS redacted FROM documents WHERE text IS NOT NULL) WHERE redacted <> text")
 def redact_documents(t):
     """Documents with secrets replaced, at the lower entropy bound; only changed ones come out."""
     d = scrub.redact(t("documents").where("text is not null").select("doc_id", "text"), threshold=3.5)
@@ -234,7 +269,11 @@ def _needles(t) -> list[str]:
     return [x for x in out if x]
 
 
-@query()
+def _scrub_sql(x: str) -> str:
+    return rf"regexp_replace({x}, '(?i)(^|[^{_W}])(?:' || {_NAMES} || ')($|[^{_W}])', '\1The Author\2', 'g')"
+
+
+@query(f"SELECT turn_id, {_scrub_sql(_scrub_sql('text'))} AS scrubbed FROM turns WHERE {_NAMED}")
 def identity_scrub(t):
     """Turns that name a subject, with the name replaced."""
     d = t("turns").where("text is not null").select("turn_id", "text")
@@ -254,15 +293,31 @@ def pseudonymize(t):
     return scrub.pseudonymize(d, KEY).select("author_id", "is_subject", "author_out")
 
 
-@query()
+_BUILD = (
+    _NORMAL.replace("SELECT source, source_id, CASE", "SELECT source, source_id, coalesce(lower(o ->> '$.looks_pasted') = 'true', false) AS pasted, CASE").strip().replace("\nSELECT", ",\nn AS (SELECT", 1)
+    + f"), k AS (SELECT pasted, {_KARBON} OR {_ANY_MARKER} AS confidential, {_HAS_SECRET} AS secret, {_NAMED} AS named FROM (SELECT *, {_VIEW.format('text')} AS v FROM n))"
+)
+
+
+@query(_BUILD + " SELECT count(*) FILTER (NOT confidential AND NOT pasted) AS written, count(*) FILTER (NOT confidential AND NOT pasted AND secret) AS redacted, count(*) FILTER (confidential) AS excluded_confidential, count(*) FILTER (NOT confidential AND pasted) AS excluded_pasted, count(*) FILTER (NOT confidential AND NOT pasted AND named) AS identity_scrubbed FROM k")
 def build_report(t):
     d = corpus.dispositions(ops.vault_dedupe(t("envelopes")), _needles(t), "The Author", KEY)
     return corpus.build_report(d)
 
 
-@query()
+_AUDIT = f"""
+WITH d AS (SELECT *, {_VIEW.format('text')} AS v FROM turns WHERE text IS NOT NULL),
+f AS (SELECT 'secret' AS finding, {SRC} || ':' || source_id AS place FROM d WHERE {_HAS_SECRET}
+  UNION ALL SELECT 'confidential', {SRC} || ':' || source_id FROM d WHERE {_KARBON} OR {_ANY_MARKER}
+  UNION ALL SELECT 'raw_author', {SRC} || ':' || source_id || ' author=' || CASE WHEN length(author_id) <= 4 THEN repeat('*', length(author_id)) ELSE substr(author_id, 1, 4) || '…(' || length(author_id) || ' chars)' END FROM (SELECT * REPLACE (coalesce(author_id, '') AS author_id) FROM d) WHERE NOT coalesce(is_subject, false) AND NOT regexp_full_match(author_id, 'P-[0-9a-f]{{12}}')
+  UNION ALL SELECT 'name', {SRC} || ':' || source_id FROM d WHERE {_NAMED})
+SELECT finding, count(*) AS n, array_to_string(list_sort(list_distinct(list(place)))[1:5], '; ') AS examples FROM f GROUP BY 1
+"""
+
+
+@query(_AUDIT)
 def corpus_audit(t):
-    return corpus.audit(t("turns").where("text is not null"), _needles(t))
+    return corpus.audit(t("turns").where("text is not null"), _needles(t)).withColumn("examples", F.array_join("examples", "; "))
 
 
 @query("SELECT turn_id, lower(regexp_extract(thread_id, '([^<>\\s]+@[^<>\\s]+)', 1)) AS address FROM turns WHERE lower(trim(source)) = 'mail'")
@@ -323,7 +378,38 @@ def thread_mass_cap(t):
     return style.thread_mass_cap(t("turns").withColumn("source", text.source_key(F.col("source"))), "source")
 
 
-@query("WITH c AS (SELECT greatest(1, ceil(count(thread_id) / count(DISTINCT thread_id))) AS cap FROM turns WHERE is_subject), r AS (SELECT turn_id, thread_id, row_number() OVER (PARTITION BY thread_id ORDER BY sha256('0:0:' || thread_id || ':' || turn_id)) AS r FROM turns WHERE is_subject AND thread_id IS NOT NULL) SELECT turn_id, thread_id FROM r, c WHERE r <= cap")
+def _drawn_sql(turns: str, seed: int, trials: int, name: str = "x") -> str:
+    """CTEs ``<name>`` (trial, turn_id, thread_id, text) of the draws of a relation (turn_id, thread_id, text)."""
+    part = lambda at: f"('0x' || substr(sha256('{seed}:draw:' || thread_id), {at}, 8))::BIGINT"
+    return (
+        f"{name}_c AS (SELECT greatest(1, ceil(count(thread_id) / count(DISTINCT thread_id)))::BIGINT AS cap FROM {turns}), "
+        f"{name}_r AS (SELECT turn_id, thread_id, text, row_number() OVER (PARTITION BY thread_id ORDER BY sha256('{seed}:order:' || thread_id || ':' || turn_id)) - 1 AS p, count(*) OVER (PARTITION BY thread_id) AS n, {part(1)} AS start, {part(9)} AS step FROM {turns} WHERE thread_id IS NOT NULL), "
+        f"{name} AS (SELECT j AS trial, turn_id, thread_id, text FROM {name}_r, {name}_c, range({trials}) AS g(j) WHERE ((p - start - j * step) % n + n) % n < cap)"
+    )
+
+
+def _fingerprint_sql(rows: str, keys: str, name: str) -> str:
+    """A CTE with every field of the fingerprint per group of a relation with ``text``."""
+    size = "greatest(sum(length(text)), 1)"
+    rate = lambda c: f"sum(length(regexp_replace(text, '[^{c}]', '', 'g'))) / {size}"
+    fw = ", ".join(f"count(*) FILTER (w = '{x}') / count(*) AS \"fw:{x}\"" for x in text.FUNCTION_WORDS)
+    return (
+        f"{name}_a AS (SELECT {keys}, count(*) AS n, avg(length(text)) AS mean_len, median(length(text))::DOUBLE AS median_len, stddev_pop(length(text)) AS len_stdev, CASE WHEN avg(length(text)) > 0 THEN stddev_pop(length(text)) / avg(length(text)) ELSE 0 END AS burstiness, "
+        + rate(".,;:!?—\\-()\\[\\]\"''") + " AS punct_rate, " + rate("\\p{So}") + " AS emoji_rate, " + rate("\\p{Lu}") + f" AS upper_rate FROM {rows} GROUP BY {keys}), "
+        f"{name}_w AS (SELECT {keys}, unnest({_WORDS}) AS w FROM {rows}), "
+        f"{name}_t AS (SELECT {keys}, count(DISTINCT w) / count(*) AS type_token_ratio, {fw} FROM {name}_w GROUP BY {keys}), "
+        f"{name} AS (SELECT * FROM {name}_a LEFT JOIN {name}_t USING ({keys}))"
+    )
+
+
+def _distance_sql(a: str, b: str, s: str) -> str:
+    f = lambda x, n: f'coalesce({x}."{n}", 0)'
+    return " + ".join(
+        f"CASE WHEN {f(s, n)} > 0 THEN abs({f(a, n)} - {f(b, n)}) / {f(s, n)} WHEN greatest(abs({f(a, n)}), abs({f(b, n)})) > 0 THEN abs({f(a, n)} - {f(b, n)}) / greatest(abs({f(a, n)}), abs({f(b, n)})) ELSE 0 END" for n in style.FIELDS
+    )
+
+
+@query("WITH s AS (SELECT turn_id, thread_id, text FROM turns WHERE is_subject), " + _drawn_sql("s", 0, 1) + " SELECT turn_id, thread_id FROM x")
 def mass_balanced_sample(t):
     d = t("turns").where("is_subject").select("turn_id", "thread_id")
     return style.mass_balanced_sample(d, 0, "turn_id").select("turn_id", "thread_id")
@@ -333,12 +419,31 @@ def _subject_heldout(t) -> DataFrame:
     return ops.split_corpus(t("turns"), _now()).where("split = 'heldout' and is_subject and text is not null").select("turn_id", "thread_id", "text")
 
 
-@query()
+_BAND = (
+    f"WITH RECURSIVE s AS (SELECT turn_id, thread_id, text FROM turns WHERE is_subject AND text IS NOT NULL AND {SPLIT} = 'heldout'), "
+    + _drawn_sql("s", 0, 200)
+    + ", z AS (SELECT *, row_number() OVER (PARTITION BY trial ORDER BY sha256('0:half:' || trial || ':' || thread_id)) AS k FROM (SELECT trial, thread_id, count(*) AS size FROM x GROUP BY 1, 2)), "
+    "h AS (SELECT trial, k, thread_id, 'left' AS side, size AS l, 0::BIGINT AS r FROM z WHERE k = 1 UNION ALL SELECT z.trial, z.k, z.thread_id, CASE WHEN h.l <= h.r THEN 'left' ELSE 'right' END, CASE WHEN h.l <= h.r THEN h.l + z.size ELSE h.l END, CASE WHEN h.l <= h.r THEN h.r ELSE h.r + z.size END FROM h JOIN z ON z.trial = h.trial AND z.k = h.k + 1), "
+    "y AS (SELECT x.trial, side, text FROM x JOIN h USING (trial, thread_id)), "
+    + _fingerprint_sql("y", "trial, side", "f")
+    + ", m AS (SELECT trial, side, min(thread_id) AS first, sha256(string_agg(thread_id, chr(0) ORDER BY thread_id)) AS threads FROM h GROUP BY 1, 2), "
+    "a AS (SELECT f.*, first, threads FROM f JOIN m USING (trial, side) WHERE side = 'left' AND n >= 4), b AS (SELECT f.*, first, threads FROM f JOIN m USING (trial, side) WHERE side = 'right' AND n >= 4), "
+    "q AS (SELECT " + ", ".join(f'avg(abs(coalesce(a."{n}", 0) - coalesce(b."{n}", 0))) AS "{n}"' for n in style.FIELDS) + " FROM a JOIN b USING (trial)), "
+    "d AS (SELECT CASE WHEN a.first <= b.first THEN a.threads ELSE b.threads END AS split, " + _distance_sql("a", "b", "q") + " AS d FROM a JOIN b USING (trial), q), "
+    "o AS (SELECT list_sort(list(d)) AS ds, count(*) AS trials, count(DISTINCT split) AS partitions FROM d), "
+    "band AS (SELECT CASE WHEN (SELECT count(*) FROM s) < 8 THEN 'too few turns' WHEN trials = 0 THEN 'no trial gave two halves of enough turns' WHEN partitions < 2 THEN 'the threads admit one split only' ELSE '' END AS reason, * FROM o)"
+)
+
+
+@query(_BAND + " SELECT CASE WHEN reason = '' THEN round(ds[trials // 2 + 1], 6) END AS median, CASE WHEN reason = '' THEN round(ds[floor(trials * 0.95)::BIGINT + 1], 6) END AS p95, trials, partitions, reason FROM band")
 def self_distance_band(t):
     return style.self_distance_band(_subject_heldout(t), key="turn_id").select(F.round("median", 6).alias("median"), F.round("p95", 6).alias("p95"), "trials", "partitions", "reason")
 
 
-@query()
+@query(
+    _BAND + f", u AS (SELECT turn_id, thread_id, text FROM turns WHERE NOT is_subject AND text IS NOT NULL AND {SPLIT} = 'train'), " + _drawn_sql("s", 0, 25, "i") + ", " + _drawn_sql("u", 1, 25, "j") + ", " + _fingerprint_sql("i", "trial", "fi") + ", " + _fingerprint_sql("j", "trial", "fj")
+    + " SELECT round(avg(" + _distance_sql("fi", "fj", "q") + "), 6) AS distance, count(*) AS draws FROM fi JOIN fj USING (trial), q WHERE (SELECT reason FROM band) = ''"
+)
 def corpus_distance(t):
     mine = _subject_heldout(t)
     band = style.self_distance_band(mine, key="turn_id")
@@ -448,11 +553,23 @@ def absences(t):
     return ev.absence_candidates(t("documents"), ENTITIES).select("entity", "attribute", "entity_hits", "attribute_hits", "skipped")
 
 
-@query()
+#: Patterns for the worksheet query, in the manner of the fixed ones, that the invented texts can meet.
+CLAIMS = {"errands": r"\b(i|we) (carried|planned|borrowed|watered|cleaned)\b", "durations": r"\bit took \d+ (hours|days|weeks)\b", "requests": r"\bcan you\b"}
+WITHHELD = r"\b(payment|receipt|claim|invoice)\b"
+_LINE = f"trim(regexp_replace(text, '{_S}+', ' ', 'g'))"
+
+
+@query(
+    f"WITH s AS (SELECT *, {SPLIT} AS split FROM turns WHERE text IS NOT NULL), h AS (SELECT DISTINCT {_LINE} AS line FROM s WHERE split <> 'train'), "
+    f"l AS (SELECT {_LINE} AS line FROM s WHERE split = 'train'), c AS (" + " UNION ALL ".join(f"SELECT '{n}' AS category, line FROM l WHERE regexp_matches(line, '(?i){p}')" for n, p in CLAIMS.items()) + "), "
+    f"k AS (SELECT category, line, regexp_matches(line, '(?i){WITHHELD}') AS bad, substr(regexp_replace(lower(line), '[^a-z0-9 ]', '', 'g'), 1, 90) AS key FROM c WHERE length(line) BETWEEN 80 AND 600 AND line NOT IN (SELECT line FROM h)), "
+    "w AS (SELECT category, count(*) FILTER (bad) AS withheld FROM k GROUP BY 1), b AS (SELECT category, line FROM k WHERE NOT bad QUALIFY row_number() OVER (PARTITION BY category, key ORDER BY length(line) DESC, line) = 1), "
+    "r AS (SELECT category, line, row_number() OVER (PARTITION BY category ORDER BY length(line) DESC, line) AS rank FROM b) SELECT category, rank, line, withheld FROM r JOIN w USING (category) WHERE rank <= 40"
+)
 def worksheet_lines(t):
     d = ops.split_corpus(t("turns"), _now()).where("text is not null")
     x = d.withColumn("source_id", F.col("turn_id").cast("string"))
-    return ev.worksheet_lines(x.where("split = 'train'"), x.where("split <> 'train'"))
+    return ev.worksheet_lines(x.where("split = 'train'"), x.where("split <> 'train'"), categories=CLAIMS, sensitive=WITHHELD).withColumn("rank", F.col("rank").cast("bigint"))
 
 
 @query("WITH p AS (SELECT unnest(regexp_extract_all(regexp_replace(text, '[\\p{L}\\p{N}_]*[^\\x00-\\x7F\\PL][\\p{L}\\p{N}_]*', 'x', 'g'), '\\b([A-Z][A-Za-z0-9.+#-]{2,}(?: [A-Z][A-Za-z0-9.+#-]{2,}){0,2})\\b', 1)) AS phrase FROM documents), c AS (SELECT phrase, count(*) AS n FROM p WHERE lower(phrase) NOT IN ('i', 'the', 'this', 'that', 'and') GROUP BY 1 ORDER BY n DESC, phrase LIMIT 120) SELECT phrase, n FROM c WHERE n >= 5 ORDER BY n DESC, phrase LIMIT 40")
@@ -460,14 +577,24 @@ def topics(t):
     return ev.topics(t("documents"))
 
 
-@query("WITH p AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(regexp_replace(lower(question), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> '')) AS w FROM fact_probes) SELECT a.item_id AS a, b.item_id AS b, round(len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))), 9) AS jaccard FROM p a JOIN p b ON a.item_id < b.item_id WHERE len(a.w) > 0 AND len(b.w) > 0 AND len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) >= 0.5")
+@query("WITH p AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(regexp_replace(lower(question), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> '')) AS w FROM fact_probes) SELECT a.item_id AS a, b.item_id AS b, round(len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))), 9) AS jaccard FROM p a JOIN p b ON a.item_id < b.item_id WHERE len(a.w) > 0 AND len(b.w) > 0 AND len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) >= 0.25")
 def near_dup_questions(t):
-    return _rounded(ev.near_duplicate_questions(t("fact_probes"), 0.5), ("jaccard",))
+    return _rounded(ev.near_duplicate_questions(t("fact_probes"), 0.25), ("jaccard",))
 
 
-@query()
+_INTAKE = """
+WITH RECURSIVE p AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(question, '')), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> '')) AS w, row_number() OVER (ORDER BY item_id) AS i FROM fact_probes),
+g AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS item_id, NULL::BOOLEAN AS kept, []::VARCHAR[][] AS words
+  UNION ALL SELECT p.i, p.item_id, NOT d.dup, CASE WHEN d.dup THEN g.words ELSE list_append(g.words, p.w) END
+  FROM g JOIN p ON p.i = g.i + 1, LATERAL (SELECT len(p.w) > 0 AND len(list_filter(g.words, lambda e: len(e) > 0 AND len(list_intersect(e, p.w)) / (len(e) + len(p.w) - len(list_intersect(e, p.w))) >= 0.25)) > 0 AS dup) d)
+SELECT item_id, kept FROM g WHERE i > 0
+"""
+
+
+@query(_INTAKE)
 def probe_intake(t):
-    return ev.intake(t("fact_probes"))
+    """The greedy intake at a threshold that the invented questions reach."""
+    return ev.intake(t("fact_probes"), 0.25)
 
 
 @query()
@@ -495,11 +622,6 @@ def ledger_kinds(t):
     return e.groupBy("kind").agg(F.count("*").alias("n"), F.count_if(F.size("parents") == 0).alias("roots"), F.count_if(reason == "").alias("without_reason"))
 
 
-@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS n_users, round(avg(value), 6) AS mean_value FROM events GROUP BY 1")
-def event_profile(t):
-    return t("events").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("n_users"), F.round(F.avg("value"), 6).alias("mean_value"))
-
-
 @query("""
 WITH RECURSIVE d AS (SELECT source_id, ts, payload FROM envelopes WHERE lower(trim(source)) = 'chatgpt' AND json_valid(payload) AND payload LIKE '{%' QUALIFY row_number() OVER (PARTITION BY subject_id, source, source_id ORDER BY ingested_at, ts, payload) = 1),
 n AS (SELECT payload ->> '$.conversation_id' AS c, source_id AS id, payload ->> '$.parent' AS parent, ts FROM d WHERE payload ->> '$.conversation_id' IS NOT NULL),
