@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.session import Stage
 
@@ -47,19 +49,57 @@ def ancestors(entries: DataFrame, starts: DataFrame, id_: str = "entry_id", pare
             return seen.df
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _walk(current: pd.Series, nodes: pd.Series, parents: pd.Series) -> pd.Series:
+    out = []
+    for at, ids, ups in zip(current, nodes, parents):
+        up = dict(zip(ids, ups)) if ids is not None else {}
+        path: dict[str, None] = {}
+        while at is not None and at in up and at not in path:
+            path[at] = None
+            at = up[at]
+        out.append(list(reversed(path)))
+    return pd.Series(out, dtype=object)
+
+
 def live_branch(conversations: DataFrame) -> DataFrame:
     """The nodes from each conversation's root to its current leaf, in order.
 
     ``conversations`` has conversation_id, current_node and mapping (map of node to
-    a struct with ``parent``).  The walk is a fold over one conversation's own map,
-    stops at a node seen before, and needs no shuffle.  ``(conversation_id, branch)``.
+    a struct with ``parent``), a graph in one row as exports have it.  Only ids reach
+    Python; a walk looks every node up once and stops at one seen before.
+    ``(conversation_id, branch)``.
     """
-    step = lambda acc, _: F.when(acc["at"].isNull(), acc).otherwise(
-        F.struct(
-            F.when(F.array_contains(acc["path"], acc["at"]), acc["path"]).otherwise(F.concat(F.array(acc["at"]), acc["path"])).alias("path"),
-            F.when(F.array_contains(acc["path"], acc["at"]), F.lit(None).cast("string")).otherwise(F.col("mapping")[acc["at"]]["parent"]).alias("at"),
-        )
-    )
-    start = F.struct(F.array().cast("array<string>").alias("path"), F.when(F.map_contains_key("mapping", F.coalesce("current_node", F.lit(""))), F.col("current_node")).alias("at"))
-    path = F.aggregate(F.map_keys("mapping"), start, step, lambda acc: acc["path"])
-    return conversations.select("conversation_id", F.filter(path, lambda n: F.map_contains_key("mapping", n)).alias("branch"))
+    parents = F.transform(F.map_values("mapping"), lambda n: n["parent"])
+    return conversations.select("conversation_id", _walk(F.col("current_node"), F.map_keys("mapping"), parents).alias("branch"))
+
+
+def live_branch_rows(nodes: DataFrame, current: DataFrame) -> DataFrame:
+    """The same for graphs with a row per node: ``(conversation_id, pos, id)`` from the root (1) to the current node.
+
+    ``nodes`` has conversation_id, id, parent (ids are unique in a conversation),
+    ``current`` conversation_id and id.  Steps of 1, 2, 4, ... parents are joined as
+    long as any node has one so far up, so a chain of n takes log2(n) joins and no
+    conversation is ever one row.  A parent that is no node ends the walk; a cycle
+    ends it at the node seen before.
+    """
+    n = nodes.select("conversation_id", "id", "parent").where("id is not null")
+    step = n.join(n.select("conversation_id", F.col("id").alias("parent")), ["conversation_id", "parent"]).select("conversation_id", "id", F.col("parent").alias("up"))
+    walk = Stage(current.select("conversation_id", "id").join(n.select("conversation_id", "id"), ["conversation_id", "id"]).withColumn("above", F.lit(0)), "branch")
+    jump, width = Stage(step, "jump"), 1
+    while True:
+        # all nodes within width - 1 steps are there; the next as many are one jump from them
+        far = walk.df.join(jump.df, ["conversation_id", "id"]).select("conversation_id", F.col("up").alias("id"), (F.col("above") + width).alias("above"))
+        new = Stage(walk.df.unionByName(far).groupBy("conversation_id", "id").agg(F.min("above").alias("above")), "branch")
+        grown = new.df.count() > walk.df.count()
+        walk.drop()
+        walk = new
+        if not grown:
+            break
+        twice = jump.df.join(jump.df.select("conversation_id", F.col("id").alias("up"), F.col("up").alias("up2")), ["conversation_id", "up"])
+        nxt = Stage(twice.select("conversation_id", "id", F.col("up2").alias("up")), "jump")
+        jump.drop()
+        jump, width = nxt, width * 2
+    jump.drop()
+    last = walk.df.groupBy("conversation_id").agg(F.max("above").alias("last"))
+    return walk.df.join(last, "conversation_id").select("conversation_id", (F.col("last") - F.col("above") + 1).alias("pos"), "id")

@@ -116,7 +116,8 @@ def volume(turns: DataFrame, per_million: float = 3.0) -> DataFrame:
 
 
 def by_source(turns: DataFrame) -> DataFrame:
-    return turns.where("is_subject").groupBy(source_key(F.col("source")).alias("source")).agg(F.count("*").alias("n"))
+    """The subject's turns per source, the largest first."""
+    return turns.where("is_subject").groupBy(source_key(F.col("source")).alias("source")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "source")
 
 
 def golden_diff(old: DataFrame, new: DataFrame) -> DataFrame:

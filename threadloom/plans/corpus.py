@@ -11,13 +11,14 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions.scrub import classify, confidential_source, has_secret, identity_map, identity_pattern, marked, matching_view, pseudonymize, redact, scrub_identity
 from threadloom.functions.text import source_key, truncate_id
-from threadloom.operators.turns import normalize, vault_dedupe
-from threadloom.session import Stage
+from threadloom.operators.turns import QUARANTINE_WEEKS, normalize, split_corpus, vault_dedupe
+from threadloom.session import Stage, collect_bounded, file_system
 
 TURN_COLUMNS = ["subject_id", "source", "source_id", "thread_id", "ts", "author_id", "is_subject", "text", "assisted", "corpus_version"]
 
@@ -87,38 +88,100 @@ class UnknownVersion(Exception):
 
 
 class CorpusStore:
-    """Immutable corpus versions: a folder of Parquet per version and a registry, published by one rename."""
+    """Immutable corpus versions on any Hadoop file system: a folder of Parquet per version, published by one rename."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self.fs, self.at = file_system(spark, root)
 
     def _path(self, version: str) -> str:
         if not re.fullmatch(r"[A-Za-z0-9._-]{1,64}", version):
             raise ValueError(f"bad version name {version!r}")
-        return os.path.join(self.root, f"corpus_version={version}")
+        return f"{self.root}/corpus_version={version}"
 
     def versions(self) -> list[str]:
-        return sorted(x.partition("=")[2] for x in os.listdir(self.root) if x.startswith("corpus_version=")) if os.path.isdir(self.root) else []
+        names = [x.getPath().getName() for x in self.fs.listStatus(self.at)] if self.fs.exists(self.at) else []
+        return sorted(x.partition("=")[2] for x in names if x.startswith("corpus_version="))
 
     def write(self, version: str, turns: DataFrame) -> int:
         """Write to a staging folder, check keys, publish; nothing remains of a build that fails.  A version without turns is kept too."""
-        path = self._path(version)
-        if os.path.exists(path):
+        target = file_system(self.spark, self._path(version))[1]
+        if self.fs.exists(target):
             raise VersionExists(version)
-        staging = os.path.join(self.root, f".staging-{uuid.uuid4().hex}")
-        turns.drop("corpus_version").write.parquet(staging)
-        d = self.spark.read.schema(turns.drop("corpus_version").schema).parquet(staging)
-        n = d.agg(F.count("*"), F.count_if(F.col("assisted").isNull())).first()
-        if n[1] or d.groupBy("source", "source_id").count().where("count > 1").head(1):
-            raise ValueError("a turn lacks 'assisted' or its key is there twice")
-        os.rename(staging, path)
+        staging = f"{self.root}/.staging-{uuid.uuid4().hex}"
+        at = file_system(self.spark, staging)[1]
+        try:
+            turns.drop("corpus_version").write.parquet(staging)
+            d = self.spark.read.schema(turns.drop("corpus_version").schema).parquet(staging)
+            n = d.agg(F.count("*"), F.count_if(F.col("assisted").isNull())).first()
+            if n[1] or d.groupBy("source", "source_id").count().where("count > 1").head(1):
+                raise ValueError("a turn lacks 'assisted' or its key is there twice")
+            if not self.fs.rename(at, target):
+                raise VersionExists(version)
+        finally:
+            self.fs.delete(at, True)
         return n[0]
 
-    def read(self, version: str) -> DataFrame:
+    def read(self, version: str, ordered: bool = False) -> DataFrame:
+        """A version, as it is stored or in the order (ts, source_id)."""
         path = self._path(version)
-        if not os.path.exists(path):
+        if not self.fs.exists(file_system(self.spark, path)[1]):
             raise UnknownVersion(version)
-        return self.spark.read.parquet(path).withColumn("corpus_version", F.lit(version))
+        d = self.spark.read.parquet(path).withColumn("corpus_version", F.lit(version))
+        return d.orderBy("ts", "source_id") if ordered else d
+
+
+def split_summary(store: CorpusStore, version: str, now: Column, weeks: int = QUARANTINE_WEEKS) -> DataFrame:
+    """Turns of a version in all and per split, one row; an unknown version is an error, never a row of zeros."""
+    d = split_corpus(store.read(version), now, weeks)
+    return d.agg(F.count("*").alias("total"), *[F.count_if(F.col("split") == s).alias(s) for s in ("train", "heldout", "quarantined")])
+
+
+class IdentityStore:
+    """The key of the pseudonyms and who is behind them: the one place that can undo them, so its folder is closed to others.
+
+    The key is made once, by an exclusive create, and never replaced; the map is a
+    side table with each pseudonym once.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.fs, self.at = file_system(spark, folder)
+        perm = spark.sparkContext._jvm.org.apache.hadoop.fs.permission.FsPermission
+        self.fs.mkdirs(self.at)
+        self.fs.setPermission(self.at, perm("700"))
+        self._private = perm("600")
+
+    def key(self) -> bytes:
+        at = file_system(self.spark, f"{self.folder}/identity_key")[1]
+        try:
+            out = self.fs.create(at, False)
+        except Py4JJavaError as e:
+            if not self.fs.exists(at):
+                raise e
+        else:
+            out.write(bytearray(os.urandom(32).hex().encode()))
+            out.close()
+            self.fs.setPermission(at, self._private)
+        return bytes.fromhex(self.spark.read.text(f"{self.folder}/identity_key").first()[0])
+
+    def _map(self) -> DataFrame | None:
+        at = f"{self.folder}/identity_map"
+        return self.spark.read.schema("pseudonym string, raw string").parquet(at) if self.fs.exists(file_system(self.spark, at)[1]) else None
+
+    def add(self, people: DataFrame) -> None:
+        """Add ``(pseudonym, raw)`` of those that are not there yet."""
+        old = self._map()
+        new = people.dropDuplicates(["pseudonym"]) if old is None else people.dropDuplicates(["pseudonym"]).join(old.select("pseudonym"), "pseudonym", "left_anti")
+        stage = Stage(new, "identity")
+        stage.df.write.mode("append").parquet(f"{self.folder}/identity_map")
+        stage.drop()
+
+    def resolve(self, pseudonym: str) -> str | None:
+        """Who is behind a pseudonym; null if it is none of ours."""
+        old = self._map()
+        row = None if old is None else old.where(F.col("pseudonym") == pseudonym).select("raw").head(1)
+        return row[0][0] if row else None
 
 
 class Ledger:
@@ -164,33 +227,51 @@ class Vault:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self.fs, self.at = file_system(spark, root)
 
-    def read(self, source: str | None = None) -> DataFrame | None:
-        if not (os.path.isdir(self.root) and any(x.startswith("source=") for x in os.listdir(self.root))):
+    def read(self, source: str | None = None, ordered: bool = False) -> DataFrame | None:
+        """All envelopes or those of a source, as stored or by time; null for a vault that was never written."""
+        if not (self.fs.exists(self.at) and any(x.getPath().getName().startswith("source=") for x in self.fs.listStatus(self.at))):
             return None
         d = self.spark.read.option("basePath", self.root).schema("subject_id string, source_id string, ts timestamp, ingested_at timestamp, payload string, source string").parquet(self.root)
-        return d if source is None else d.where(F.col("source") == source)
+        d = d if source is None else d.where(F.col("source") == source)
+        return d.orderBy("ts", "source_id") if ordered else d
 
     def write(self, batch: DataFrame) -> tuple[int, int]:
-        """Append the new ones; (inserted, already there).  Writing the same batch again inserts nothing."""
+        """Append the new ones; (inserted, already there).  Writing the same batch again inserts nothing.
+
+        Of the vault only the keys of the batch's sources are read.
+        """
         b = batch.select("subject_id", "source", "source_id", "ts", "ingested_at", "payload")
-        total = b.count()
+        by = {r["source"]: r["n"] for r in collect_bounded(b.groupBy("source").agg(F.count("*").alias("n")), 10_000)}
         old = self.read()
         new = vault_dedupe(b)
-        if old is not None:
+        if old is not None and by:
+            old = old.where(F.col("source").isin(*[s for s in by if s is not None]))
             new = new.join(old.select("subject_id", "source", "source_id"), ["subject_id", "source", "source_id"], "left_anti")
         stage = Stage(new, "vault")
         n = stage.df.count()
         if n:
             stage.df.write.mode("append").partitionBy("source").parquet(self.root)
         stage.drop()
-        return n, total - n
+        return n, sum(by.values()) - n
 
     def count(self, source: str) -> int:
         d = self.read(source)
         return 0 if d is None else d.count()
 
 
+def shown(path: str, root: str) -> str:
+    """A path below ``root`` without it; of any other the last step, so no home folder is ever shown."""
+    root = root.rstrip("/") + "/"
+    return path.removeprefix(root) if path.startswith(root) else path.rstrip("/").rpartition("/")[2]
+
+
+def without_paths(message: str) -> str:
+    """An error's text with every absolute path cut to its last step."""
+    return re.sub(r"(?<![\w./:])(?:file:)?/(?:[^\s/'\"]+/)*([^\s/'\"]+)", r"\1", message)
+
+
 def ingest(vault: Vault, cursors: Cursors, ledger: Ledger, source: str, subject_id: str, fetch: Callable[[str | None], tuple[DataFrame, str]]) -> dict:
     """One path for first and later runs: fetch from the cursor, write, then move the cursor.
 
@@ -203,7 +284,7 @@ def ingest(vault: Vault, cursors: Cursors, ledger: Ledger, source: str, subject_
         batch, after = fetch(start)
         inserted, seen = vault.write(batch)
     except Exception as e:
-        ledger.append("ingest_failed", subject_id, {"source": source, "cursor": start, "error": str(e)[:500]})
+        ledger.append("ingest_failed", subject_id, {"source": source, "cursor": start, "error": without_paths(str(e))[:500]})
         raise
     if after != start:
         cursors.set(source, after)
@@ -212,7 +293,11 @@ def ingest(vault: Vault, cursors: Cursors, ledger: Ledger, source: str, subject_
 
 
 def build_corpus(vault: Vault, store: CorpusStore, ledger: Ledger, version: str, subject_id: str, needles: list[str], replacement: str | None, key: bytes) -> dict:
-    """All of the vault to one immutable version: all or nothing."""
+    """All of the vault to one immutable version: all or nothing.
+
+    The identity map is extended before the version is published, so no version is
+    ever without it; entries of a build that failed name nobody in any version.
+    """
     if version in store.versions():
         raise VersionExists(version)
     env = vault.read()
@@ -221,9 +306,9 @@ def build_corpus(vault: Vault, store: CorpusStore, ledger: Ledger, version: str,
     stage = Stage(dispositions(env, needles, replacement, key), "build")
     report = build_report(stage.df).first().asDict()
     kept = stage.df.where("disposition = 'kept'")
-    store.write(version, kept.select(*[c for c in TURN_COLUMNS if c != "corpus_version"]))
     raw = kept.select(F.col("raw_author").alias("author_id"), "is_subject")
-    identity_map(raw, key).write.mode("append").parquet(os.path.join(store.root, ".identity"))
+    IdentityStore(store.spark, f"{store.root}/.identity").add(identity_map(raw, key))
+    store.write(version, kept.select(*[c for c in TURN_COLUMNS if c != "corpus_version"]))
     ledger.append("build", subject_id, {"version": version} | report)
     stage.drop()
     return report

@@ -627,16 +627,15 @@ WITH RECURSIVE d AS (SELECT source_id, ts, payload FROM envelopes WHERE lower(tr
 n AS (SELECT payload ->> '$.conversation_id' AS c, source_id AS id, payload ->> '$.parent' AS parent, ts FROM d WHERE payload ->> '$.conversation_id' IS NOT NULL),
 w AS (SELECT c, id, parent, [id] AS path FROM n QUALIFY row_number() OVER (PARTITION BY c ORDER BY ts DESC, id DESC) = 1
   UNION ALL SELECT n.c, n.id, n.parent, [n.id] || w.path FROM w JOIN n ON n.c = w.c AND n.id = w.parent WHERE NOT list_contains(w.path, n.id))
-SELECT c AS conversation_id, max(len(path))::BIGINT AS n_nodes, array_to_string(max_by(path, len(path)), ',') AS branch FROM w GROUP BY c
+SELECT c AS conversation_id, unnest(path) AS id, unnest(range(1, len(path) + 1)) AS pos FROM w QUALIFY len(path) = max(len(path)) OVER (PARTITION BY c)
 """)
 def live_branches(t):
-    """Conversations of the DAG source as maps, walked from their newest message to the root; payloads that are no objects have no node."""
+    """Conversations of the DAG source, walked from their newest message to the root; payloads that are no objects have no node."""
     e = ops.vault_dedupe(t("envelopes").where(text.source_key(F.col("source")) == "chatgpt"))
-    e = e.withColumn("p", F.from_json("payload", "map<string,string>", {"allowSingleQuotes": "false"})).where(F.col("p")["conversation_id"].isNotNull())
-    c = e.groupBy(F.col("p")["conversation_id"].alias("conversation_id")).agg(
-        F.map_from_entries(F.collect_list(F.struct("source_id", F.struct(F.col("p")["parent"].alias("parent"))))).alias("mapping"), F.max(F.struct("ts", "source_id"))["source_id"].alias("current_node")
-    )
-    return provenance.live_branch(c).select("conversation_id", F.size("branch").cast("bigint").alias("n_nodes"), F.array_join("branch", ",").alias("branch"))
+    e = e.withColumn("p", F.from_json("payload", "map<string,string>", {"allowSingleQuotes": "false"})).withColumn("conversation_id", F.col("p")["conversation_id"]).where("conversation_id is not null")
+    nodes = e.select("conversation_id", F.col("source_id").alias("id"), F.col("p")["parent"].alias("parent"), "ts")
+    newest = nodes.groupBy("conversation_id").agg(F.max(F.struct("ts", "id"))["id"].alias("id"))
+    return provenance.live_branch_rows(nodes, newest).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def queries() -> dict[str, Query]:

@@ -59,12 +59,14 @@ def recovery(spark: SparkSession, path: str, gate: float = 0.95) -> DataFrame:
 
 def transcript_rows(lines: DataFrame) -> DataFrame:
     """Lines ``(path, offset, mtime, line)`` of session transcripts to typed user text; bad JSON and other entries are skipped."""
-    t = lines.withColumn("e", F.from_json("line", "type string, message struct<content:string>", {"mode": "PERMISSIVE"})).where("e.type = 'user'")
-    raw = F.col("e.message.content")
-    parts = F.from_json(raw, "array<struct<type:string,text:string>>")
-    is_list = raw.rlike(r"^\s*\[\s*\{") & parts.isNotNull()
-    text = F.when(is_list, F.array_join(F.transform(F.filter(parts, lambda p: p["type"] == "text"), lambda p: F.coalesce(p["text"], F.lit(""))), "\n")).otherwise(raw)
-    t = t.withColumn("raw", trim_u(strip_tags(text))).where(~is_blank(F.col("raw"))).withColumn("text", strip_fences(F.col("raw")))
+    v = F.try_parse_json("line")
+    t = lines.withColumn("v", v).where(F.try_variant_get("v", "$.type", "string") == "user").withColumn("c", F.try_variant_get("v", "$.message.content", "variant"))
+    kind = F.schema_of_variant("c")  # a string is text whatever it looks like; only a list has parts
+    parts = F.filter(F.try_variant_get("c", "$", "array<variant>"), lambda p: F.try_variant_get(p, "$.type", "string") == "text")
+    joined = F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_variant_get(p, "$.text", "string"), F.lit(""))), "\n")
+    text = F.when(kind == "STRING", F.try_variant_get("c", "$", "string")).when(kind.startswith("ARRAY"), joined)
+    t = t.withColumn("typed", text).drop("v", "c").withColumnRenamed("typed", "c")
+    t = t.withColumn("raw", trim_u(strip_tags(F.col("c")))).where(~is_blank(F.col("raw"))).withColumn("text", strip_fences(F.col("raw")))
     t = t.withColumns({"raw_chars": F.length("raw"), "prose_chars": F.length("text"), "looks_pasted": looks_pasted(F.col("raw"), F.col("text"))})
     return t.withColumn("source_id", short_hash(24, F.col("path"), F.col("offset").cast("string"), F.col("raw"))).withColumn("ts", F.col("mtime"))
 
@@ -158,18 +160,18 @@ def query_export(spark: SparkSession, paths: str, subject_id: str, now: datetime
 def graph_export(spark: SparkSession, paths: str, subject_id: str, now: datetime, cursor: str | None = None) -> tuple[DataFrame, str]:
     """User messages on the live branch of every conversation graph; time falls back to the conversation's, then to 1970."""
     files, after = unseen_exports(paths, cursor)
-    msg = "struct<id:string,author:struct<role:string>,content:struct<content_type:string,parts:array<string>>,create_time:double,metadata:struct<model_slug:string,is_user_system_message:boolean>>"
+    msg = "struct<id:string,author:struct<role:string>,content:struct<content_type:string,parts:array<variant>>,create_time:double,metadata:struct<model_slug:string,is_user_system_message:boolean>>"
     d = _parsed(_documents(spark, files, None), f"array<struct<conversation_id:string,id:string,title:string,create_time:double,current_node:string,mapping:map<string,struct<parent:string,message:{msg}>>>>", "[")
     c = d.select("path", F.posexplode("v").alias("cpos", "c")).select("path", F.coalesce("c.conversation_id", "c.id", F.lit("")).alias("conversation_id"), F.concat_ws(":", "path", F.col("cpos").cast("string")).alias("k"), "c.title", F.col("c.create_time").alias("ctime"), "c.current_node", "c.mapping")
     b = live_branch(c.select(F.col("k").alias("conversation_id"), "current_node", "mapping")).withColumnRenamed("conversation_id", "k")
     m = c.join(b, "k").select("path", "conversation_id", "title", "ctime", "mapping", F.posexplode("branch").alias("idx", "node")).withColumn("m", F.col("mapping")[F.col("node")]["message"])
     m = m.where("m.author.role = 'user' and m.content.content_type in ('text', 'multimodal_text') and not coalesce(m.metadata.is_user_system_message, false)")
-    parts = F.coalesce("m.content.parts", F.array().cast("array<string>"))
-    obj = lambda p: p.rlike(r'^\s*\{.*"content_type"')
-    m = m.withColumn("text", F.array_join(F.filter(parts, lambda p: ~obj(p)), "")).where(~is_blank(F.col("text")))
+    parts = F.coalesce("m.content.parts", F.array().cast("array<variant>"))
+    typed = F.transform(parts, lambda p: F.when(F.schema_of_variant(p) == "STRING", F.try_variant_get(p, "$", "string")))
+    m = m.withColumn("text", F.array_join(F.array_compact(typed), "")).where(~is_blank(F.col("text")))
     ids = F.when(~is_blank(F.col("m.id")), trim_u(F.col("m.id"))).otherwise(short_hash(24, F.col("path"), F.col("conversation_id"), F.col("idx").cast("string"), F.col("text")))
     when_ = F.timestamp_micros(F.floor(F.coalesce("m.create_time", "ctime", F.lit(0.0)) * 1_000_000).cast("bigint"))
-    m = _pasted(m.withColumns({"source_id": ids, "ts": when_, "role": F.lit("user"), "model_slug": F.col("m.metadata.model_slug"), "image_count": F.size(F.filter(parts, lambda p: p.rlike(r'"content_type"\s*:\s*"image_asset_pointer"')))}))
+    m = _pasted(m.withColumns({"source_id": ids, "ts": when_, "role": F.lit("user"), "model_slug": F.col("m.metadata.model_slug"), "image_count": F.size(F.filter(parts, lambda p: F.try_variant_get(p, "$.content_type", "string") == "image_asset_pointer"))}))
     return _envelope(m, subject_id, "chatgpt", now, ["text", "conversation_id", "role", "title", "raw_chars", "prose_chars", "looks_pasted", "model_slug", "image_count"]), after
 
 

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 ROWS_PER_PART = 500_000
 BYTES_PER_PART = 64 << 20
@@ -96,7 +96,7 @@ class TailSource(DataSource):
     def reader(self, schema):
         return _TailReader(self.options)
 
-    def simpleStreamReader(self, schema):
+    def streamReader(self, schema):
         return _TailStream(self.options)
 
 
@@ -145,24 +145,25 @@ class _TailReader(DataSourceReader):
             yield from lines_between(part.path, part.lo, part.hi)
 
 
-class _TailStream(SimpleDataSourceStreamReader):
+class _TailStream(DataSourceStreamReader):
+    """Offsets are byte positions by file; the bytes between two of them are cut into parts that tasks read."""
+
     def __init__(self, options):
         self.options = options
 
     def initialOffset(self):
         return json.loads(self.options.get("cursor") or "{}")
 
-    def read(self, start):
-        end = dict(start)
-        rows = []
-        for p in files_of(self.options["path"], self.options.get("pattern", "*.jsonl")):
-            hi = complete_until(p)
-            rows += list(lines_between(p, start.get(p, 0), hi))
-            end[p] = max(hi, start.get(p, 0))
-        return iter(rows), end
+    def latestOffset(self):
+        return {p: complete_until(p) for p in files_of(self.options["path"], self.options.get("pattern", "*.jsonl"))}
+
+    def partitions(self, start, end):
+        out = [Span(p, a, min(a + BYTES_PER_PART, hi)) for p, hi in sorted(end.items()) for a in range(start.get(p, 0), hi, BYTES_PER_PART)]
+        return out or [Span("", 0, 0)]
 
-    def readBetweenOffsets(self, start, end):
-        return iter([r for p, hi in end.items() for r in lines_between(p, start.get(p, 0), hi)])
+    def read(self, part):
+        if part.path:
+            yield from lines_between(part.path, part.lo, part.hi)
 
 
 class MboxSource(DataSource):
