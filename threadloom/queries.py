@@ -24,21 +24,31 @@ ENTITIES = {"bridge": "product", "garden": "feature", "server": "tech", "meeting
 ROUND = 9
 
 
-def _now():
-    return F.timestamp_micros(F.lit(_MICROS))
+def split_now():
+    return F.timestamp_micros(F.lit(MICROS))
 
 
-_MICROS = 1772323200000000  # NOW in microseconds
+MICROS = 1772323200000000  # NOW in microseconds
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+class Tables:
+    """The tables of a data directory by name, with the session they are read in."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __call__(self, name: str) -> DataFrame:
+        return table(self.spark, self.sf_dir, name)
+
+
 def query(sql: str | None = None):
     def add(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship_package(spark)
-            return fn(lambda name: table(spark, sf_dir, name))
+            return fn(Tables(spark, sf_dir))
 
         QUERIES[fn.__name__] = run
         if sql:
@@ -50,7 +60,7 @@ def query(sql: str | None = None):
 
 SRC = "lower(trim(source))"
 BUCKET = "(('0x' || substr(sha256(thread_id), 1, 8))::BIGINT % 100)"
-SPLIT = f"CASE WHEN epoch_us(ts) > {_MICROS} - 12::BIGINT * 7 * 86400 * 1000000 THEN 'quarantined' WHEN {BUCKET} < 15 THEN 'heldout' ELSE 'train' END"
+SPLIT = f"CASE WHEN epoch_us(ts) > {MICROS} - 12::BIGINT * 7 * 86400 * 1000000 THEN 'quarantined' WHEN {BUCKET} < 15 THEN 'heldout' ELSE 'train' END"
 
 
 # splits, replies, volume
@@ -58,17 +68,17 @@ SPLIT = f"CASE WHEN epoch_us(ts) > {_MICROS} - 12::BIGINT * 7 * 86400 * 1000000
 
 @query(f"SELECT {SPLIT} AS split, count(*) AS n FROM turns GROUP BY 1")
 def split_counts(t):
-    return ops.split_counts(t("turns"), _now())
+    return ops.split_counts(t("turns"), split_now())
 
 
 @query(f"SELECT turn_id, {SPLIT} AS split, {BUCKET} AS bucket FROM turns")
 def split_by_thread(t):
-    return ops.split_corpus(t("turns"), _now()).select("turn_id", "split", text.thread_bucket(F.col("thread_id")).alias("bucket"))
+    return ops.split_corpus(t("turns"), split_now()).select("turn_id", "split", text.thread_bucket(F.col("thread_id")).alias("bucket"))
 
 
-@query(f"SELECT turn_id, coalesce(epoch_us(ts) > {_MICROS} - 12::BIGINT * 7 * 86400 * 1000000, false) AS quarantined FROM turns")
+@query(f"SELECT turn_id, coalesce(epoch_us(ts) > {MICROS} - 12::BIGINT * 7 * 86400 * 1000000, false) AS quarantined FROM turns")
 def quarantine_split(t):
-    return t("turns").select("turn_id", F.coalesce(ops.is_quarantined(F.col("ts"), _now()), F.lit(False)).alias("quarantined"))
+    return t("turns").select("turn_id", F.coalesce(ops.is_quarantined(F.col("ts"), split_now()), F.lit(False)).alias("quarantined"))
 
 
 def _unique_turns(t) -> DataFrame:
@@ -138,10 +148,10 @@ def vault_dedupe(t):
     return one.join(n, ["subject_id", "source", "source_id"])
 
 
-@query(f"SELECT DISTINCT subject_id, {SRC} AS source, source_id FROM envelopes e WHERE epoch_us(ingested_at) >= {_MICROS} AND NOT EXISTS (SELECT 1 FROM envelopes o WHERE o.subject_id = e.subject_id AND lower(trim(o.source)) = lower(trim(e.source)) AND o.source_id = e.source_id AND epoch_us(o.ingested_at) < {_MICROS})")
+@query(f"SELECT DISTINCT subject_id, {SRC} AS source, source_id FROM envelopes e WHERE epoch_us(ingested_at) >= {MICROS} AND NOT EXISTS (SELECT 1 FROM envelopes o WHERE o.subject_id = e.subject_id AND lower(trim(o.source)) = lower(trim(e.source)) AND o.source_id = e.source_id AND epoch_us(o.ingested_at) < {MICROS})")
 def vault_incremental(t):
     e = t("envelopes").withColumn("source", text.source_key(F.col("source")))
-    late = F.col("ingested_at") >= _now()
+    late = F.col("ingested_at") >= split_now()
     return ops.new_to_vault(e.where(late), e.where(~late)).select("subject_id", "source", "source_id")
 
 
@@ -170,10 +180,10 @@ def orphan_threads(t):
     return t("turns").groupBy(text.source_key(F.col("source")).alias("source")).agg(F.count("*").alias("n"), F.count_if(F.col("thread_id").contains(":orphan:")).alias("n_orphans"))
 
 
-_VERSION = "(SELECT lower(trim(source)) AS source, source_id, text FROM turns WHERE corpus_version = '{}' QUALIFY row_number() OVER (PARTITION BY lower(trim(source)), source_id ORDER BY turn_id) = 1)"
+VERSION = "(SELECT lower(trim(source)) AS source, source_id, text FROM turns WHERE corpus_version = '{}' QUALIFY row_number() OVER (PARTITION BY lower(trim(source)), source_id ORDER BY turn_id) = 1)"
 
 
-@query(f"SELECT count(*) FILTER (b.source_id IS NULL) AS dropped, count(*) FILTER (a.source_id IS NULL) AS added, count(*) FILTER (a.source_id IS NOT NULL AND b.source_id IS NOT NULL AND a.text IS DISTINCT FROM b.text) AS rewritten, count(*) FILTER (a.source_id IS NOT NULL AND b.source_id IS NOT NULL AND a.text IS NOT DISTINCT FROM b.text) AS kept FROM {_VERSION.format('v3')} a FULL JOIN {_VERSION.format('v4')} b ON a.source = b.source AND a.source_id = b.source_id")
+@query(f"SELECT count(*) FILTER (b.source_id IS NULL) AS dropped, count(*) FILTER (a.source_id IS NULL) AS added, count(*) FILTER (a.source_id IS NOT NULL AND b.source_id IS NOT NULL AND a.text IS DISTINCT FROM b.text) AS rewritten, count(*) FILTER (a.source_id IS NOT NULL AND b.source_id IS NOT NULL AND a.text IS NOT DISTINCT FROM b.text) AS kept FROM {VERSION.format('v3')} a FULL JOIN {VERSION.format('v4')} b ON a.source = b.source AND a.source_id = b.source_id")
 def golden_diff(t):
     """From version 3 to version 4; a message read twice stands in a version once."""
     one = lambda v: t("turns").where(F.col("corpus_version") == v).withColumn("source", text.source_key(F.col("source"))).groupBy("source", "source_id").agg(F.min(F.struct("turn_id", "text"))["text"].alias("text"))
@@ -262,22 +272,22 @@ def redact_documents(t):
     return d.where("redacted <> text").select("doc_id", "redacted")
 
 
-def _needles(t) -> list[str]:
+def needles(t) -> list[str]:
     out = []
     for r in collect_bounded(t("subjects"), 10_000):
         out += [r["display_name"], *(r["aliases"] or [])]
     return [x for x in out if x]
 
 
-def _scrub_sql(x: str) -> str:
+def scrub_sql(x: str) -> str:
     return rf"regexp_replace({x}, '(?i)(^|[^{_W}])(?:' || {_NAMES} || ')($|[^{_W}])', '\1The Author\2', 'g')"
 
 
-@query(f"SELECT turn_id, {_scrub_sql(_scrub_sql('text'))} AS scrubbed FROM turns WHERE {_NAMED}")
+@query(f"SELECT turn_id, {scrub_sql(scrub_sql('text'))} AS scrubbed FROM turns WHERE {_NAMED}")
 def identity_scrub(t):
     """Turns that name a subject, with the name replaced."""
     d = t("turns").where("text is not null").select("turn_id", "text")
-    n = _needles(t)
+    n = needles(t)
     d = d.where(F.col("text").rlike(scrub.identity_pattern(n)))
     return d.select("turn_id", scrub.scrub_identity(F.col("text"), n, "The Author").alias("scrubbed"))
 
@@ -301,7 +311,7 @@ _BUILD = (
 
 @query(_BUILD + " SELECT count(*) FILTER (NOT confidential AND NOT pasted) AS written, count(*) FILTER (NOT confidential AND NOT pasted AND secret) AS redacted, count(*) FILTER (confidential) AS excluded_confidential, count(*) FILTER (NOT confidential AND pasted) AS excluded_pasted, count(*) FILTER (NOT confidential AND NOT pasted AND named) AS identity_scrubbed FROM k")
 def build_report(t):
-    d = corpus.dispositions(ops.vault_dedupe(t("envelopes")), _needles(t), "The Author", KEY)
+    d = corpus.dispositions(ops.vault_dedupe(t("envelopes")), needles(t), "The Author", KEY)
     return corpus.build_report(d)
 
 
@@ -317,7 +327,7 @@ SELECT finding, count(*) AS n, array_to_string(list_sort(list_distinct(list(plac
 
 @query(_AUDIT)
 def corpus_audit(t):
-    return corpus.audit(t("turns").where("text is not null"), _needles(t)).withColumn("examples", F.array_join("examples", "; "))
+    return corpus.audit(t("turns").where("text is not null"), needles(t)).withColumn("examples", F.array_join("examples", "; "))
 
 
 @query("SELECT turn_id, lower(regexp_extract(thread_id, '([^<>\\s]+@[^<>\\s]+)', 1)) AS address FROM turns WHERE lower(trim(source)) = 'mail'")
@@ -416,7 +426,7 @@ def mass_balanced_sample(t):
 
 
 def _subject_heldout(t) -> DataFrame:
-    return ops.split_corpus(t("turns"), _now()).where("split = 'heldout' and is_subject and text is not null").select("turn_id", "thread_id", "text")
+    return ops.split_corpus(t("turns"), split_now()).where("split = 'heldout' and is_subject and text is not null").select("turn_id", "thread_id", "text")
 
 
 _BAND = (
@@ -447,7 +457,7 @@ def self_distance_band(t):
 def corpus_distance(t):
     mine = _subject_heldout(t)
     band = style.self_distance_band(mine, key="turn_id")
-    other = ops.split_corpus(t("turns"), _now()).where("split = 'train' and not is_subject and text is not null").select("turn_id", "thread_id", "text")
+    other = ops.split_corpus(t("turns"), split_now()).where("split = 'train' and not is_subject and text is not null").select("turn_id", "thread_id", "text")
     return style.corpus_distance(mine, other, band, 25, 0, "turn_id").select(F.round("distance", 6).alias("distance"), "draws")
 
 
@@ -567,7 +577,7 @@ _LINE = f"trim(regexp_replace(text, '{_S}+', ' ', 'g'))"
     "r AS (SELECT category, line, row_number() OVER (PARTITION BY category ORDER BY length(line) DESC, line) AS rank FROM b) SELECT category, rank, line, withheld FROM r JOIN w USING (category) WHERE rank <= 40"
 )
 def worksheet_lines(t):
-    d = ops.split_corpus(t("turns"), _now()).where("text is not null")
+    d = ops.split_corpus(t("turns"), split_now()).where("text is not null")
     x = d.withColumn("source_id", F.col("turn_id").cast("string"))
     return ev.worksheet_lines(x.where("split = 'train'"), x.where("split <> 'train'"), categories=CLAIMS, sensitive=WITHHELD).withColumn("rank", F.col("rank").cast("bigint"))
 
@@ -639,8 +649,12 @@ def live_branches(t):
 
 
 def queries() -> dict[str, Query]:
+    from threadloom import file_queries  # noqa: F401  # adds those of sources and stores
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from threadloom import file_queries  # noqa: F401
+
     return dict(SQL)

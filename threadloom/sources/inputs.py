@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.functions.text import is_blank, short_hash
+from threadloom.functions.text import is_blank, short_hash, trim_u
 
 FACT = "probe_id string, question string, expected string, answerable boolean, notes string"
 REFUSAL = "probe_id string, prompt string, should_decline boolean, notes string"
@@ -77,8 +77,11 @@ def worksheet_seeds(text: str, sections: tuple[str, ...] = ("preferences", "opin
     return out
 
 
-TEXT_SUFFIXES = (".py", ".md", ".txt", ".json", ".yaml", ".yml", ".toml", ".cfg", ".ini", ".sh", ".sql")
-SKIP_DIRS = (".git", "__pycache__", ".venv", "node_modules", ".pytest_cache")
+# The files a leak search reads and the folders it passes by.
+TEXT_SUFFIXES = (".py", ".md", ".yaml", ".yml", ".toml", ".json", ".txt", ".sh")
+SKIP_DIRS = (".git", ".venv", "__pycache__", ".pytest_cache", "node_modules", ".superpowers", ".token-optimizer")
+#: What ends a line.
+LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 
 
 def leak_lint(spark: SparkSession, root: str, needles: list[str], allow: tuple[str, ...] = ("config", "data")) -> DataFrame:
@@ -92,11 +95,11 @@ def leak_lint(spark: SparkSession, root: str, needles: list[str], allow: tuple[s
     f = f.withColumn("rel", rel).where(F.col("rel").rlike("(" + "|".join(re.escape(s) for s in TEXT_SUFFIXES) + ")$"))
     parts = F.split("rel", "/")
     f = f.where(~F.arrays_overlap(parts, F.array(*map(F.lit, SKIP_DIRS))) & ~parts[0].isin(*allow))
-    lines = f.select(F.col("rel").alias("path"), F.posexplode(F.split(F.decode("content", "UTF-8"), "\r\n|\n|\r")).alias("i", "line"))
+    lines = f.select(F.col("rel").alias("path"), F.posexplode(F.split(F.decode("content", "UTF-8"), LINE_END)).alias("i", "line"))
     hit = F.lit(False)
     for n in low:
         hit = hit | F.lower("line").contains(n)
-    return lines.where(hit).select("path", (F.col("i") + 1).alias("line_no"), F.trim("line").alias("line"))
+    return lines.where(hit).select("path", (F.col("i") + 1).alias("line_no"), trim_u(F.col("line")).alias("line"))
 
 
 @dataclass(frozen=True)
