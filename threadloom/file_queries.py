@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import text
 from threadloom.operators import turns as ops
-from threadloom.plans import corpus
-from threadloom.queries import _BUILD, _S, _TRIMMED, KEY, QUERIES, SQL, SRC, VERSION, needles, query, scrub_sql, split_now
+from threadloom.operators.evaluation import ATTRIBUTES
+from threadloom.plans import corpus, report
+from threadloom.queries import _BUILD, _S, _TRIMMED, CLAIMS, ENTITIES, KEY, QUERIES, SQL, SRC, VERSION, WITHHELD, needles, query, scrub_sql, split_now
 from threadloom.session import Stage, collect_bounded, file_system, shared_dir
 from threadloom.sources import connectors as C
 from threadloom.sources import inputs
@@ -462,4 +463,63 @@ def streamed_envelopes(t):
     return v.read().groupBy("source").agg(F.count("*").alias("n"))
 
 
+# files for people
+
+
+@query(f"SELECT line FROM ({SQL['worksheet_lines']})")
+def worksheet_file(t):
+    """The worksheet written as Markdown, and its lines read back from it."""
+    from threadloom.operators import evaluation as ev
+
+    d = ops.split_corpus(t("turns"), split_now()).where("text is not null").withColumn("source_id", F.col("turn_id").cast("string"))
+    lines = ev.worksheet_lines(d.where("split = 'train'"), d.where("split <> 'train'"), categories=CLAIMS, sensitive=WITHHELD)
+    path = os.path.join(folder(t.spark, "probes"), "worksheet.md")
+    report.write_text(path, report.worksheet("a test", lines, ev.topics(t("documents")), 0, 0, 0, CLAIMS))
+    with open(path, encoding="utf-8") as f:
+        seeds = inputs.worksheet_seeds(f.read(), tuple(CLAIMS))
+    return t.spark.createDataFrame([(x,) for x in seeds], "line string")
+
+
+@query(f"SELECT entity, attribute, entity_hits, attribute_hits FROM ({SQL['absences']}) WHERE skipped IS NULL")
+def absence_file(t):
+    """Candidates written as JSON and read back."""
+    from threadloom.operators import evaluation as ev
+
+    path = os.path.join(folder(t.spark, "probes"), "absence-candidates.json")
+    report.absence_file(ev.absence_candidates(t("documents"), ENTITIES), path)
+    return t.spark.read.schema("entity string, attribute string, entity_hits bigint, attribute_hits bigint").option("multiLine", True).json(path)
+
+
+@query(f"SELECT entity || ' ' || entity_hits || 'x train, ' || attribute || ' ' || attribute_hits || 'x' AS notes, question FROM ({SQL['answerable_rows']}) JOIN (VALUES " + ", ".join(f"('{e}', '{k}', '{q.replace('{e}', e)}')" for e, kind in ENTITIES.items() for k, _, q in ATTRIBUTES.get(kind, [])) + ") AS q(entity, attribute, question) USING (entity, attribute)")
+def draft_file(t):
+    """The draft of probes written, filled in, and parsed again."""
+    from threadloom.operators import evaluation as ev
+
+    body, _ = report.draft(["a line"], ev.answerable_rows(t("documents"), ENTITIES))
+    filled = body.replace(f"| {inputs.PLACEHOLDER} |", "| an answer |")
+    got, _ = inputs.parse_probe_lines(filled, skip_unfilled=True)
+    return t.spark.createDataFrame([(x["notes"], x["question"]) for x in got], "notes string, question string")
+
+
+_MERGED = """
+WITH RECURSIVE a AS (SELECT item_id, list_distinct(list_filter(regexp_split_to_array(regexp_replace(lower(question), '[^a-z ]', '', 'g'), ' +'), lambda x: x <> '')) AS w FROM fact_probes),
+o AS (SELECT * FROM a WHERE item_id % 3 = 0),
+p AS (SELECT *, row_number() OVER (ORDER BY item_id) AS i FROM a WHERE item_id % 3 <> 0),
+g AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS item_id, NULL::BOOLEAN AS kept, (SELECT list(w) FROM o) AS words
+  UNION ALL SELECT p.i, p.item_id, NOT d.dup, CASE WHEN d.dup THEN g.words ELSE list_append(g.words, p.w) END
+  FROM g JOIN p ON p.i = g.i + 1, LATERAL (SELECT len(p.w) > 0 AND len(list_filter(g.words, lambda e: len(e) > 0 AND len(list_intersect(e, p.w)) / (len(e) + len(p.w) - len(list_intersect(e, p.w))) >= 0.25)) > 0 AS dup) d),
+n AS (SELECT item_id, row_number() OVER (ORDER BY item_id) AS k FROM o UNION ALL SELECT item_id, (SELECT count(*) FROM o) + row_number() OVER (ORDER BY i) FROM g WHERE kept)
+SELECT item_id, 'fact-' || lpad(k::VARCHAR, 3, '0') AS probe_id FROM n
+"""
+
+
+@query(_MERGED)
+def merged_probes(t):
+    """Two thirds of the probes merged into a file that holds the others; new ids go on where the old ones end."""
+    rows = sorted(_probes(t), key=lambda r: r["item_id"])
+    old = [r | {"probe_id": f"fact-{i:03d}"} for i, r in enumerate((r for r in rows if r["item_id"] % 3 == 0), 1)]
+    kept, _, _ = report.merge_probes(old, [r for r in rows if r["item_id"] % 3], 0.25)
+    return t.spark.createDataFrame([(r["item_id"], r["probe_id"]) for r in kept], "item_id bigint, probe_id string")
+
+
 __all__ = ["QUERIES", "SQL"]
