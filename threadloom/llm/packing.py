@@ -72,8 +72,9 @@ def best_fit(size: list[int], source: list, cluster: list, capacity: int) -> lis
     Containers are kept by the room they have left.  From the smallest room that
     suffices, the search goes on to larger ones until a container holds no text of
     the item's duplicate cluster; of those with equal room one without the item's
-    source is taken first.  A cluster with more members than there must be
-    containers cannot be kept apart and is not.
+    source is taken first.  A cluster with more members than there must be containers
+    cannot be kept apart: a container then takes as many of it as an even spread over
+    those containers gives each, and no more; its members are placed before all else.
     """
     n = len(size)
     must = max(1, math.ceil(sum(size) / capacity))
@@ -81,14 +82,16 @@ def best_fit(size: list[int], source: list, cluster: list, capacity: int) -> lis
     for c in cluster:
         if c is not None:
             members[c] = members.get(c, 0) + 1
-    c_bit = {c: 1 << i for i, c in enumerate(c for c, k in members.items() if 1 < k <= must)}
+    c_bit = {c: 1 << i for i, c in enumerate(c for c, k in members.items() if k > 1)}
+    most = {c: -(-k // must) for c, k in members.items() if k > must}
+    inside: dict[tuple, int] = {}
     s_bit = {s: 1 << i for i, s in enumerate(dict.fromkeys(source))}
     room: dict[int, list[int]] = {}
     has = 0  # bit r is set if a container has room r
     clusters: list[int] = []
     sources: list[int] = []
     out = [0] * n
-    for i in sorted(range(n), key=lambda i: -size[i]):
+    for i in sorted(range(n), key=lambda i: (cluster[i] not in most, -size[i])):
         cb, sb, need = c_bit.get(cluster[i], 0), s_bit[source[i]], size[i]
         left = has >> need << need
         took = None
@@ -107,7 +110,10 @@ def best_fit(size: list[int], source: list, cluster: list, capacity: int) -> lis
             room[r].remove(took)
             if not room[r]:
                 has ^= 1 << r
-        clusters[took] |= cb
+        if cluster[i] in most:
+            inside[took, cluster[i]] = inside.get((took, cluster[i]), 0) + 1
+        if inside.get((took, cluster[i]), 1) >= most.get(cluster[i], 1):
+            clusters[took] |= cb
         sources[took] |= sb
         out[i] = took
         rest = r - need
@@ -118,7 +124,12 @@ def best_fit(size: list[int], source: list, cluster: list, capacity: int) -> lis
 
 
 def pack(documents: DataFrame, budgets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """Every document in containers of every budget: ``(budget_name, container_id, doc_id, piece, token_from, token_to)``.
+    """Every document in containers of every budget: ``(budget_name, container_id, doc_id, piece, token_from, token_to)``, see ``_packed``."""
+    return _packed(documents, budgets, tokenizer).drop("capacity_tokens")
+
+
+def _packed(documents: DataFrame, budgets: DataFrame, tokenizer: str) -> DataFrame:
+    """``pack`` with the capacity of each container.
 
     A document is divided only if it exceeds the capacity: into pieces that fill a
     container each and a rest, which is packed like a document.  Documents without
@@ -139,7 +150,7 @@ def pack(documents: DataFrame, budgets: DataFrame, tokenizer: str = TOKENIZER) -
     items = items.withColumn("whole", whole).withColumn("rest", F.col("n_tokens") - F.col("whole") * cap)
     full = items.where("whole > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("whole").cast("int") - 1)))
     full = full.select(
-        "budget_name", F.concat_ws("-", base, F.lit("doc"), F.col("doc_id").cast("string"), F.col("piece").cast("string")).alias("container_id"), "doc_id", "piece",
+        "budget_name", "capacity_tokens", F.concat_ws("-", base, F.lit("doc"), F.col("doc_id").cast("string"), F.col("piece").cast("string")).alias("container_id"), "doc_id", "piece",
         (F.col("piece") * cap).alias("token_from"), ((F.col("piece") + 1) * cap).alias("token_to"),
     )
 
@@ -149,20 +160,18 @@ def pack(documents: DataFrame, budgets: DataFrame, tokenizer: str = TOKENIZER) -
         got = best_fit(pdf["rest"].tolist(), pdf["source"].tolist(), [None if pd.isna(c) else c for c in pdf["cluster"].tolist()], int(capacity))
         first = pdf["whole"].to_numpy() * capacity
         return pd.DataFrame({
-            "budget_name": name, "container_id": [f"{name}-{capacity}-{shard}-{g}" for g in got], "doc_id": pdf["doc_id"].to_numpy(), "piece": pdf["whole"].to_numpy().astype("int32"),
+            "budget_name": name, "capacity_tokens": capacity, "container_id": [f"{name}-{capacity}-{shard}-{g}" for g in got], "doc_id": pdf["doc_id"].to_numpy(), "piece": pdf["whole"].to_numpy().astype("int32"),
             "token_from": first, "token_to": first + pdf["rest"].to_numpy(),
         })
 
-    schema = "budget_name string, container_id string, doc_id bigint, piece int, token_from bigint, token_to bigint"
+    schema = "budget_name string, capacity_tokens bigint, container_id string, doc_id bigint, piece int, token_from bigint, token_to bigint"
     rest = items.select("budget_name", "capacity_tokens", "shard", "doc_id", "source", F.col("cluster").cast("string").alias("cluster"), "whole", "rest")
     return rest.groupBy("budget_name", "capacity_tokens", "shard").applyInPandas(run, schema).unionByName(full)
 
 
 def pack_report(documents: DataFrame, budgets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """Per budget: containers, documents, divided documents, tokens, share of room left over, and containers with one lower bound's worth."""
-    p = pack(documents, budgets, tokenizer)
-    b = p.groupBy("budget_name", "container_id").agg(F.sum(F.col("token_to") - F.col("token_from")).alias("used"), F.count("*").alias("n"), F.max("piece").alias("p"))
-    b = b.groupBy("budget_name").agg(F.count("*").alias("n_containers"), F.sum("n").alias("n_items"), F.sum("used").alias("n_tokens"), F.max("used").alias("fullest"))
-    c = budgets.groupBy("budget_name").agg(F.max("capacity_tokens").alias("capacity_tokens"))
-    b = b.join(c, "budget_name")
+    p = _packed(documents, budgets, tokenizer)
+    b = p.groupBy("budget_name", "capacity_tokens", "container_id").agg(F.sum(F.col("token_to") - F.col("token_from")).alias("used"), F.count("*").alias("n"))
+    b = b.groupBy("budget_name", "capacity_tokens").agg(F.count("*").alias("n_containers"), F.sum("n").alias("n_items"), F.sum("used").alias("n_tokens"), F.max("used").alias("fullest"))
     return b.withColumn("least_containers", F.ceil(F.col("n_tokens") / F.col("capacity_tokens"))).withColumn("left_over", F.round(1 - F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")), 6))

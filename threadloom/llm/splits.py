@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections import deque
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.operators.graph import connected_components
@@ -13,10 +13,10 @@ from threadloom.session import Stage, collect_bounded
 
 #: Equal turns (time and text) that make two threads one session.
 SHARED_TURNS = 3
-#: Bundles the driver solves for; beyond it sizes are binned by one percent.
-MAX_BUNDLES = 100_000
-#: Components of a bundle up to which its members are counted off exactly; larger bundles are cut at hash quantiles.
-EXACT_MEMBERS = 10_000
+#: A turn that more threads hold links them to one of them first.
+HOT = 1000
+#: Bundles the driver solves for; more is an error.  So many distinct sizes, even over 255 sets of sources, take more than 7 billion turns.
+MAX_BUNDLES = 2_000_000
 
 
 def _source() -> Column:
@@ -57,12 +57,28 @@ def identity_key(source: Column, thread: Column) -> Column:
     )
 
 
+def _with_three(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """Of pairs (src, dst) of threads those that hold ``SHARED_TURNS`` turns together."""
+    n = pairs.join(held.withColumnRenamed("thread_id", "src"), "src").join(held.withColumnRenamed("thread_id", "dst"), ["dst", "h"])
+    return n.groupBy("src", "dst").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED_TURNS).select("src", "dst")
+
+
+def _meetings(g: DataFrame) -> DataFrame:
+    """Pairs of threads that hold a turn together and are not linked yet: (thread_id, h, comp) to (src, dst)."""
+    other = g.select(F.col("thread_id").alias("dst"), F.col("comp").alias("comp2"), "h")
+    return g.withColumnRenamed("thread_id", "src").join(other, "h").where("src < dst and comp <> comp2").select("src", "dst").distinct()
+
+
 def _shared_sessions(turns: DataFrame) -> DataFrame:
     """Edges between threads with at least ``SHARED_TURNS`` equal non-blank turns.
 
-    Threads with the same set of shared turns are linked to the least of them
-    and only that one goes on.  Of the rest, each thread leaves out the two turns
-    that most threads hold: a pair with three turns in common still meets in one.
+    Threads with the same set of shared turns are linked to the least of them and
+    only that one goes on.  Of the rest, each thread leaves out the two turns that
+    most threads hold: a pair with three turns in common still meets in its rarest.
+    Threads under a turn that more than ``HOT`` of them hold are linked to the
+    least of those first, linear in their number.  If the rarest turn of a pair is hot
+    all its turns are, so threads with fewer than three hot turns meet in the others
+    only, and hot turns whose threads are linked among themselves are left out.
     """
     t = turns.where(r"thread_id is not null and ts is not null and text rlike '(?U)\\S'")
     t = t.select("thread_id", F.xxhash64("ts", "text").alias("h")).distinct()
@@ -74,12 +90,22 @@ def _shared_sessions(turns: DataFrame) -> DataFrame:
     same = per.df.where("thread_id <> rep").select(F.col("thread_id").alias("src"), F.col("rep").alias("dst"))
     own = s.df.join(per.df.where("thread_id = rep").select("thread_id", F.col("m1.h").alias("h1")), "thread_id")
     second = own.where("h <> h1").groupBy("thread_id").agg(F.max(F.struct("f", "h")).alias("m2")).select("thread_id", F.col("m2.h").alias("h2"))
-    gen = own.where("h <> h1").join(second, "thread_id").where("h <> h2").select("thread_id", "h")
-    pairs = gen.select(F.col("thread_id").alias("src"), "h").join(gen.select(F.col("thread_id").alias("dst"), "h"), "h").where("src < dst").select("src", "dst").distinct()
+    gen = own.where("h <> h1").join(second, "thread_id").where("h <> h2").select("thread_id", "h", "f")
     held = own.select("thread_id", "h")
-    n = pairs.join(held.withColumnRenamed("thread_id", "src"), "src").join(held.withColumnRenamed("thread_id", "dst"), ["dst", "h"])
-    linked = n.groupBy("src", "dst").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED_TURNS).select("src", "dst")
-    return same.unionByName(linked)
+    if not s.df.where(F.col("f") > HOT).head(1):
+        return same.unionByName(_with_three(_meetings(gen.select("thread_id", "h", F.col("thread_id").alias("comp"))), held))
+    hot = own.where(F.col("f") > HOT).select("thread_id", "h")
+    many = hot.groupBy("thread_id").agg(F.count("*").alias("n")).where(F.col("n") >= SHARED_TURNS).select("thread_id")
+    hot = Stage(hot.join(many, "thread_id"), "hot").df
+    centre = hot.groupBy("h").agg(F.min("thread_id").alias("dst"))
+    stars = Stage(_with_three(hot.withColumnRenamed("thread_id", "src").join(centre, "h").where("src <> dst").select("src", "dst").distinct(), held), "stars").df
+    comp = connected_components(stars).select(F.col("node").alias("thread_id"), "component")
+    hot = hot.join(comp, "thread_id", "left").withColumn("comp", F.coalesce("component", "thread_id")).drop("component")
+    open_ = hot.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("h")
+    few = gen.where(F.col("f") <= HOT).select("thread_id", "h", F.col("thread_id").alias("comp"))
+    left = hot.join(open_, "h").select("thread_id", "h", "comp")
+    met = _meetings(few).unionByName(_meetings(left)).distinct()
+    return same.unionByName(stars).unionByName(_with_three(met, held))
 
 
 def thread_components(turns: DataFrame) -> DataFrame:
@@ -217,8 +243,7 @@ def assign_splits(turns: DataFrame, targets: DataFrame, seed: int = 0) -> DataFr
     Components are ``thread_components``; a thread in none is one by itself, and so
     is a turn without thread id.  Components are bundled by size and set of
     sources, ``solve_quotas`` says how many of each bundle go to which split, and
-    members are counted off in the order of their hash (bundles over
-    ``EXACT_MEMBERS`` are cut at hash quantiles).  Targets that do not add up to 1
+    members are counted off in the order of their hash.  Targets that do not add up to 1
     are scaled; targets of 0 or null get nothing; without targets no turn gets a
     row.  Equal input gives the equal result in any order of the rows.
     """
@@ -229,30 +254,25 @@ def assign_splits(turns: DataFrame, targets: DataFrame, seed: int = 0) -> DataFr
     t = t.join(comp.withColumnRenamed("node", "thread_id"), "thread_id", "left")
     t = Stage(t.select("turn_id", "source", F.coalesce("component", "thread_id", F.concat(F.lit("turn:"), F.col("turn_id").cast("string"))).alias("component")), "turns").df
     sized = t.groupBy("component").agg(F.count("*").alias("size"), F.array_join(F.sort_array(F.collect_set(F.coalesce("source", F.lit("")))), "+").alias("profile"))
-    sized = Stage(sized, "sized").df
-    counts = sized.groupBy("profile", "size").agg(F.count("*").alias("n"))
-    if counts.count() > MAX_BUNDLES:
-        binned = F.round(F.exp(F.round(F.log("size") / math.log(1.01)) * math.log(1.01))).cast("bigint")
-        sized = sized.withColumn("size", F.greatest(F.lit(1), F.when(F.col("size") > 100, binned).otherwise(F.col("size"))))
-        counts = sized.groupBy("profile", "size").agg(F.count("*").alias("n"))
-    bundles = [(r["profile"], r["size"], r["n"]) for r in counts.collect()]
+    sized = Stage(sized.withColumn("order", F.xxhash64(F.lit(seed), "component")), "sized").df
+    # the place of a member in its bundle: a rank among those of like hash plus the count of smaller ones
+    sized = sized.withColumn("slot", F.shiftright("order", 52))
+    bundle = ["profile", "size"]
+    slots = sized.groupBy(*bundle, "slot").agg(F.count("*").alias("c"))
+    slots = slots.withColumn("before", F.sum("c").over(Window.partitionBy(*bundle).orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("c")).drop("c")
+    member = sized.withColumn("r", F.row_number().over(Window.partitionBy(*bundle, "slot").orderBy("order", "component"))).join(slots, [*bundle, "slot"])
+    bundles = [(r["profile"], r["size"], r["n"]) for r in collect_bounded(sized.groupBy(*bundle).agg(F.count("*").alias("n")), MAX_BUNDLES)]
     plan = solve_quotas(bundles, shares)
-    rows, sizes = [], {(p, s): n for p, s, n in bundles}
+    rows = []
     for (p, s), take in sorted(plan.items()):
         at = 0
         for name in sorted(take):
             if take[name]:
-                rows.append((p, s, sizes[p, s], at, at + take[name], name))
+                rows.append((p, s, at, at + take[name], name))
                 at += take[name]
-    cut = spark.createDataFrame(rows, "profile string, size bigint, n bigint, lo bigint, hi bigint, split_name string")
-    few = counts.where(F.col("n") <= EXACT_MEMBERS).select("profile", "size")
-    order = F.xxhash64(F.lit(seed), "component")
-    from pyspark.sql import Window
-
-    exact = sized.join(few, ["profile", "size"], "left_semi").withColumn("rank", F.row_number().over(Window.partitionBy("profile", "size").orderBy(order, "component")) - 1)
-    loose = sized.join(few, ["profile", "size"], "left_anti").join(counts, ["profile", "size"])
-    loose = loose.withColumn("rank", F.floor(F.pmod(order, F.lit(1 << 30)) / (1 << 30) * F.col("n"))).drop("n")
-    named = exact.unionByName(loose).join(cut, ["profile", "size"]).where("rank >= lo and rank < hi").select("component", "split_name")
+    cut = spark.createDataFrame(rows, "profile string, size bigint, lo bigint, hi bigint, split_name string")
+    rank = F.col("before") + F.col("r") - 1
+    named = member.join(cut, bundle).where((rank >= F.col("lo")) & (rank < F.col("hi"))).select("component", "split_name")
     return t.select("turn_id", "component").join(named, "component").select("turn_id", "component", "split_name")
 
 
