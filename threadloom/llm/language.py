@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LANGS = ("de", "en", "es", "fr", "it", "nl", "pt")
@@ -19,8 +20,10 @@ TRAIN_DOCS = 300
 STRETCH, ANY = 12, 5
 #: Nats that a change of language costs: inside a clause, after a comma or other mark, at a line end, after a sentence, at a blank line.
 SWITCH = np.array([16.0, 12.0, 10.0, 8.0, 7.0])
-#: Nats per character from which a word counts as no language, and the score of a word with digits against that.
-REJECT, DIGITS = 2.75, -0.7
+#: A word counts as no language from so many times the median cross-entropy of held-out prose on.
+REJECT = 3.0
+#: Score of a word with digits in any language against that in none.
+DIGITS = -0.7
 TOKEN = re.compile(r"([^\W_]+)((?:[\W_]+)?)")
 M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,7 +57,14 @@ def _grams(codes: np.ndarray, pos: np.ndarray, n: int) -> tuple[np.ndarray, np.n
 
 
 class KneserNey:
-    """Interpolated Kneser-Ney models of all languages in sorted hash arrays."""
+    """Interpolated Kneser-Ney models of all languages in sorted hash arrays.
+
+    ``reject`` is the cross-entropy in nats a character from which a word is no
+    language, ``sharp`` what differences of it are multiplied by in a confidence;
+    both are set by ``calibrated``.
+    """
+
+    reject, sharp = 2.75, 10.0
 
     def __init__(self, counts: list[Counter]):
         k = len(counts)
@@ -130,30 +140,32 @@ class _Seps(dict):
 
 
 class Segmenter:
-    """Words to languages: per word the best of all languages and of none, changes costing ``SWITCH``."""
+    """Words to languages: where a text is cut is found by Viterbi, changes costing ``SWITCH``; each stretch goes to the language of lowest length-normalised cross-entropy."""
 
     def __init__(self, model: KneserNey):
         self.model = model
         self.ids: dict[str, int] = {}
         self.table = np.zeros((0, len(LANGS) + 1), np.float32)
+        self.chars = np.zeros(0, np.float32)
         self.seps = _Seps()
 
     def _learn(self, ws: set[str]) -> None:
         if len(self.ids) > 400_000:
-            self.ids, self.table = {}, self.table[:0]
+            self.ids, self.table, self.chars = {}, self.table[:0], self.chars[:0]
         new = [w for w in ws if w not in self.ids]
         if not new:
             return
         n = np.array([len(w) + 1 for w in new], np.float32)
         s = np.empty((len(new), len(LANGS) + 1), np.float32)
         s[:, :-1] = self.model.scores(new)
-        s[:, -1] = -REJECT * n
+        s[:, -1] = -self.model.reject * n
         odd = np.array([any(c.isdigit() for c in w) for w in new])
         s[odd, :-1], s[odd, -1] = DIGITS, 0.0
         base = len(self.ids)
         for i, w in enumerate(new):
             self.ids[w] = base + i
         self.table = np.concatenate((self.table, s))
+        self.chars = np.concatenate((self.chars, n))
 
     def __call__(self, texts: list[str]) -> list[list[tuple[int, int, int, float]]]:
         """Per text its stretches (language or len(LANGS) for none, first word, end, confidence)."""
@@ -202,10 +214,13 @@ class Segmenter:
             s = state[: n[j], j]
             cut = np.flatnonzero(np.diff(s)) + 1
             sums = np.concatenate((np.zeros((1, k)), np.cumsum(e[: n[j], j], 0, dtype=np.float64)))
+            chars = np.concatenate(([0.0], np.cumsum(self.chars[rows[i]], dtype=np.float64)))
             for a, b in zip(np.concatenate(([0], cut)), np.concatenate((cut, [n[j]]))):
-                total = (sums[b] - sums[a]) / max(1.0, np.sqrt(b - a))
-                p = np.exp(total - total.max())
-                out[i].append((int(s[a]), int(a), int(b), round(float(p[s[a]] / p.sum()), 4)))
+                entropy = (sums[a] - sums[b]) / (chars[b] - chars[a])
+                p = np.exp(-self.model.sharp * (entropy - entropy.min()))
+                # within a stretch the lowest cross-entropy a character decides, unless it was rejected
+                x = k - 1 if s[a] == k - 1 else int(entropy[:-1].argmin())
+                out[i].append((x, int(a), int(b), round(float(p[x] / p.sum()), 4)))
             out[i] = _absorbed(out[i])
 
 
@@ -231,28 +246,52 @@ def fit(documents: DataFrame, per_language: int = TRAIN_DOCS) -> KneserNey:
     sentences of the sample that it gives to their label, the second is fitted on them.
     """
     d = documents.select("doc_id", label(F.col("lang")).alias("l"), "text").where("text is not null")
-    ids = None
-    for x in LANGS:
-        part = d.where(F.col("l") == x).select("doc_id", "l").orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language)
-        ids = part if ids is None else ids.unionByName(part)
-    rows = d.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").where(F.col("l").isin(*LANGS)).select("l", "text").collect()
-    units = [(LANGS.index(r["l"]), [w for w in re.findall(r"[^\W\d_]+", u.lower())]) for r in rows for u in re.split(r"(?<=[.!?])\s+|\n", r["text"])]
-    units = [(i, ws) for i, ws in units if ws]
-    counts = [Counter() for _ in LANGS]
-    for i, ws in units:
-        counts[i].update(ws)
-    for c in counts:
-        c[""] += 1
-    first = KneserNey(counts)
-    vocab = sorted({w for _, ws in units for w in ws})
+    # a rank with a limit: each task keeps the first few of a label before anything is sent
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = d.where(F.col("l").isin(*LANGS)).select("doc_id", "l").withColumn("r", rank).where(F.col("r") <= per_language)
+    rows = d.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi").where(F.col("l").isin(*LANGS)).select("doc_id", "l", "text").collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["l"], r["text"]))
+    units = [(i % 2, LANGS.index(r["l"]), [w for w in re.findall(r"[^\W\d_]+", u.lower())]) for i, r in enumerate(rows) for u in re.split(r"(?<=[.!?])\s+|\n", r["text"])]
+    units = [u for u in units if u[2]]
+    first = KneserNey(_counts((i, ws) for _, i, ws in units))
+    vocab = sorted({w for _, _, ws in units for w in ws})
     if not vocab:
         return first
     score = dict(zip(vocab, first.scores(vocab)))
-    counts = [Counter({"": 1}) for _ in LANGS]
+    own = KneserNey(_counts((i, ws) for _, i, ws in units if np.sum([score[w] for w in ws], 0).argmax() == i))
+    half = KneserNey(_counts((i, ws) for k, i, ws in units if k == 0))
+    own.reject, own.sharp = calibrated(half, [(i, ws) for k, i, ws in units if k == 1 and len(ws) >= ANY])
+    return own
+
+
+def _counts(units: Iterator[tuple[int, list[str]]]) -> list[Counter]:
+    out = [Counter({"": 1}) for _ in LANGS]
     for i, ws in units:
-        if np.sum([score[w] for w in ws], 0).argmax() == i:
-            counts[i].update(ws)
-    return KneserNey(counts)
+        out[i].update(ws)
+    return out
+
+
+def calibrated(model: KneserNey, held_out: list[tuple[int, list[str]]]) -> tuple[float, float]:
+    """(reject, sharp) from labelled sentences that the model was not fitted on.
+
+    ``reject`` is ``REJECT`` times the median cross-entropy of those it gives to
+    their label; ``sharp`` makes the mean confidence the share of them that it does.
+    Without any the defaults stay.
+    """
+    if not held_out:
+        return KneserNey.reject, KneserNey.sharp
+    vocab = sorted({w for _, ws in held_out for w in ws})
+    score = dict(zip(vocab, model.scores(vocab)))
+    ce = np.array([-np.sum([score[w] for w in ws], 0) / sum(len(w) + 1 for w in ws) for _, ws in held_out])
+    right = ce.argmin(1) == np.array([i for i, _ in held_out])
+    if not right.any():
+        return KneserNey.reject, KneserNey.sharp
+    gap = ce - ce.min(1, keepdims=True)
+    low, high = 0.1, 1000.0
+    for _ in range(40):
+        mid = math.sqrt(low * high)
+        low, high = (mid, high) if (1 / np.exp(-mid * gap).sum(1)).mean() < right.mean() else (low, mid)
+    return REJECT * float(np.median(ce.min(1)[right])), low
 
 
 SCHEMA = "doc_id bigint, seq int, lang string, first_word int, n_words int, confidence double"
