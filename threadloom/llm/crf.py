@@ -118,12 +118,18 @@ class CRF:
             n, t_max = lens[grp], int(lens[grp].max())
             idx = np.minimum(firsts[grp][None, :] + np.arange(t_max)[:, None], len(em) - 1)
             v = self.start + em[idx[0]]
-            back = np.empty((t_max, grp.size, v.shape[1]), np.int8)
+            back = np.zeros((t_max, grp.size, v.shape[1]), np.int8)
             final = np.where((n == 1)[:, None], v, 0)
+            step, better = np.empty_like(v), np.empty(v.shape, bool)
             for t in range(1, t_max):
-                s = v[:, :, None] + self.trans[None]
-                back[t] = s.argmax(1)
-                v = np.take_along_axis(s, back[t][:, None, :].astype(np.int64), 1)[:, 0] + em[idx[t]]
+                # the best label before, one after the other; of equal ones the first
+                best = v[:, :1] + self.trans[0]
+                for f in range(1, len(self.labels)):
+                    np.add(v[:, f : f + 1], self.trans[f], out=step)
+                    np.greater(step, best, out=better)
+                    np.maximum(best, step, out=best)
+                    np.putmask(back[t], better, f)
+                v = best + em[idx[t]]
                 final = np.where((n == t + 1)[:, None], v, final)
             cur = (final + self.end).argmax(1)
             rows = np.arange(grp.size)

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ _RUN = re.compile(r"\d+|[A-Z]+|[^\W\d_]+|.", re.S)
 _DIGIT = re.compile(r"\d")
 
 
+@lru_cache(200_000)
 def core_span(chunk: str) -> tuple[int, int]:
     """Where the word itself begins and ends within a chunk."""
     if _AT.match(chunk) or _DOT.match(chunk):
@@ -327,6 +329,20 @@ def _check(kind: str, item: str) -> bool:
     return digits == 0 and not set("@<>|:") & set(item) and len(re.findall(r"[^\W\d_]+", item)) >= 2
 
 
+class _Chunks:
+    """The chunks of a text as (start, chunk), made as they are asked for."""
+
+    def __init__(self, text: str):
+        self.found = list(CHUNK.finditer(text))
+
+    def __len__(self) -> int:
+        return len(self.found)
+
+    def __getitem__(self, i: int) -> tuple[int, str]:
+        x = self.found[i]
+        return x.start(), x.group()
+
+
 class Finder:
     """Texts to items ``(start, end, kind)``, a batch at a time."""
 
@@ -375,7 +391,7 @@ class Finder:
         return out
 
     def _spans(self, text: str, places, labs, out) -> None:
-        m = [(x.start(), x.group()) for x in CHUNK.finditer(text)]
+        m = _Chunks(text)
         groups: list[list[int]] = []
         kinds: list[str] = []
         for p, q in zip(places.tolist(), labs.tolist()):
@@ -411,7 +427,6 @@ class Finder:
             if e > s and _check(kind, text[s:e]):
                 out.append((s, e, kind))
 
-
     @staticmethod
     def _street_word(m, g):
         """A number and a name that lack the kind of street take it from the next word."""
@@ -461,12 +476,13 @@ class Finder:
         return done
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
 _BREAK = re.compile(r"[^\S\n]*[\r\n]+\s*")
 
 
 def _plain_words(text: str, given: set[str]) -> set[str]:
     """Words of a text in small letters or away from given names."""
-    raw = re.findall(r"[^\W\d_]+", text)
+    raw = _LETTERS.findall(text)
     ws = [w.lower() for w in raw]
     alone = {w for p, w, n in zip(["", *ws], ws, [*ws[1:], ""]) if p not in given and n not in given and len(p) != 1}
     return {w for w in alone | {w for w in raw if w.islower()} if len(w) > 1}
