@@ -94,6 +94,56 @@ SELECT thread_id, leaf, seq, source, source_id FROM u
 """
 )
 
+_P7_VERDICTS = (
+    _MESSAGES
+    + """,
+q AS (SELECT DISTINCT h.thread_id, h.source, h.source_id FROM h LEFT JOIN (SELECT DISTINCT thread_id, source, source_id AS parent, true AS there FROM h) p USING (thread_id, source, parent) WHERE coalesce(h.parent, '') <> '' AND p.there IS NULL)
+SELECT h.thread_id, bool_or(bad) AS damaged, bool_or(subj AND says) AS subject_speaks, bool_or(NOT subj AND says) AS others_speak, count(DISTINCT source || ':' || source_id) AS n_messages,
+  (SELECT count(*) FROM q WHERE q.thread_id = h.thread_id) AS n_orphans, 0::BIGINT AS n_cyclic, any_value(v.dropped) AS dropped
+FROM h JOIN v USING (thread_id) GROUP BY h.thread_id
+"""
+)
+
+# Word sets of turns, and pairs of them by brute force.
+_SETS = r"""
+WITH RECURSIVE w AS (SELECT turn_id, lower(trim(eval_split)) AS side, list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM turns WHERE text IS NOT NULL),
+s AS (SELECT * FROM w WHERE len(w) >= 24)
+"""
+
+def _near_pairs(on: str) -> str:
+    sized = f"SELECT a.turn_id AS x, b.turn_id AS y, len(a.w) AS n, len(b.w) AS m, len(list_intersect(a.w, b.w)) AS c FROM s a JOIN s b ON {on} WHERE len(a.w) >= 0.7 * len(b.w) AND len(b.w) >= 0.7 * len(a.w)"
+    return f"SELECT x, y FROM ({sized}) WHERE c >= 0.7 * (n + m - c)"
+
+
+_P3 = _SETS + f"SELECT least(x, y) AS turn_a, greatest(x, y) AS turn_b FROM ({_near_pairs("a.side = 'train' AND b.side IN ('validation', 'heldout')")})"
+_P5 = (
+    _SETS
+    + f""",
+e AS ({_near_pairs('a.turn_id < b.turn_id')}),
+n AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r AS (SELECT DISTINCT x AS t, x AS g FROM n UNION SELECT n.y, r.g FROM r JOIN n ON n.x = r.t WHERE r.g < n.y)
+SELECT least(min(g), t) AS group_id, t AS turn_id FROM r GROUP BY t
+"""
+)
+
+# Related threads in SQL: what their ids denote, and three turns in common.
+_P1 = r"""
+WITH RECURSIVE t AS (SELECT lower(trim(source)) AS source, thread_id, ts, text FROM turns WHERE thread_id IS NOT NULL),
+i AS (SELECT DISTINCT source, thread_id AS id, regexp_extract(thread_id, '(?i)^\s*[a-z]+;-;(.*)$', 1) AS chat FROM t),
+p AS (SELECT *, CASE WHEN regexp_matches(id, '<[^<>]*>\s*$') THEN regexp_extract(id, '<([^<>]*)>\s*$', 1) ELSE id END AS box, regexp_replace(regexp_replace(chat, '(?i)^\s*tel:', ''), '[^0-9+]', '', 'g') AS num,
+  regexp_replace(replace(trim(id), '\', '/'), '(?i)^file:(//(localhost)?)?/', '/') AS path FROM i),
+u AS (SELECT *, lower(regexp_replace(regexp_replace(regexp_replace(box, '\s', '', 'g'), '(?i)^mailto:', ''), '[?].*$', '')) AS mail, lower(regexp_replace(regexp_replace(regexp_replace(chat, '\s', '', 'g'), '(?i)^mailto:', ''), '[?].*$', '')) AS chat_mail,
+  CASE WHEN starts_with(path, '/') THEN '/' ELSE '' END || array_to_string(list_filter(string_split(path, '/'), lambda x: x NOT IN ('', '.')), '/') AS clean FROM p),
+c AS (SELECT *, regexp_replace(regexp_replace(clean, '[^/]+/\.\./', ''), '[^/]+/\.\./', '') AS full_path FROM u),
+k AS (SELECT id, CASE WHEN source = 'mail' AND contains(mail, '@') THEN 'addr:' || mail WHEN source = 'imessage' AND contains(chat, '@') THEN 'addr:' || chat_mail WHEN source = 'imessage' AND chat <> '' AND length(num) > 3 THEN 'tel:' || regexp_replace(num, '^00', '+')
+  WHEN source = 'claude_code' AND regexp_matches(id, '[/\\]') THEN 'file:' || full_path WHEN source = 'git_repos' AND regexp_matches(id, '[/\\]') THEN 'repo:' || regexp_replace(regexp_replace(full_path, '/?\.git$', ''), '/$', '') END AS key FROM c),
+h AS (SELECT DISTINCT thread_id AS id, ts, text FROM t WHERE ts IS NOT NULL AND trim(text) <> ''),
+l AS (SELECT DISTINCT a.id AS x, b.id AS y FROM k a JOIN k b ON a.key = b.key AND a.id <> b.id
+  UNION SELECT a.id, b.id FROM h a JOIN h b ON a.ts = b.ts AND a.text = b.text AND a.id <> b.id GROUP BY a.id, b.id HAVING count(*) >= 3),
+r AS (SELECT DISTINCT x AS a, x AS b FROM l UNION SELECT r.a, l.y FROM r JOIN l ON l.x = r.b)
+SELECT a AS thread_a, b AS thread_b FROM r WHERE a < b
+"""
+
 # Probes in documents, in SQL: shared windows of twelve words.
 _P9 = r"""
 WITH w AS (SELECT item_id, regexp_extract_all(lower(strip_accents(regexp_replace(question, '\p{Cf}', '', 'g'))), '[\p{L}\p{N}]+') AS l FROM fact_probes),
@@ -105,4 +155,4 @@ SELECT DISTINCT item_id, doc_id FROM a JOIN b USING (s)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p7_found": _P7, "p7_conversations": _P7_CONVERSATIONS, "p7_paths": _P7_PATHS, "p9_found": _P9}
+    return {"p1_found": _P1, "p3_found": _P3, "p5_found": _P5, "p7_found": _P7, "p7_verdicts": _P7_VERDICTS, "p7_conversations": _P7_CONVERSATIONS, "p7_paths": _P7_PATHS, "p9_found": _P9}
