@@ -118,6 +118,18 @@ def test_hot_group_is_linked_by_stars(make_turns, prose, tiny_limits):
     assert {tuple(r) for r in neardup.near_duplicate_groups(d).collect()} == groups(list(enumerate(rows, 1)))
 
 
+def test_large_blocks_are_linked_to_centres_first(make_turns, prose, monkeypatch):
+    from threadloom.llm import near as N
+
+    monkeypatch.setattr(N, "STAR", 3)
+    monkeypatch.setattr(N, "CENTRES", 2)
+    head = prose.text(30)
+    rows = [head + " " + prose.text(k % 14) for k in range(60)] + [prose.text(40) for _ in range(6)]
+    rows += [prose.edit(t, 3) for t in rows[::3]]
+    d = make_turns([{"text": t} for t in rows])
+    assert {tuple(r) for r in neardup.near_duplicate_groups(d).collect()} == groups(list(enumerate(rows, 1)))
+
+
 def test_records_follow_the_rows_where_a_third_is_one_group(make_turns, prose, tiny_limits):
     """Keys whose classes are linked to one centre send no record: as many rows of near copies as of others add none."""
     base = prose.text(60)

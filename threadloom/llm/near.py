@@ -15,6 +15,11 @@ counted first, batch by batch (there are at most 400 for a band).  For problem 5
 the classes under a hot key are linked to one of them, linear in their number, and
 a key whose classes are linked among themselves then is left out.  What remains is
 cut into chunks, each pair of chunks a block of its own.
+
+For problem 5 the first bands are taken twice.  The first time a block of more than
+``STAR`` classes gives only the pairs of a few centres with what is near them; what
+these and the short blocks link is one component from then on, and the passes that
+follow look for pairs of different components only, in all bands and blocks.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from threadloom.session import Stage
 JACCARD = 0.7
 #: Differing bits allowed of 128: at Jaccard 0.7 the mean is 19.2 and the deviation 4.0, so one pair in 10,000 exceeds it.
 BUDGET = 36
+#: Classes of a block from which on it is linked to centres first, and how many centres it has at most.
+STAR, CENTRES = 64, 16
 #: A key with fewer classes is never hot.
 HOT = 4096
 #: A hot key holds at least one class in so many.
@@ -154,8 +161,29 @@ def packed(rows: int, first: int, last: int, tasks: int, hot: np.ndarray, chunks
     return run
 
 
-def block_pairs(linked: bool, cross: bool):
-    """Candidate pairs (a, b), a < b, of classes from the records of a task: of different components (``linked``), of both sides (``cross``)."""
+def centre_pairs(key: np.ndarray, cls: np.ndarray, s0: np.ndarray, s1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of one block: the class of least hash with all within the budget, then the same among the others, until few or ``CENTRES`` are done."""
+    left = np.arange(cls.size)
+    order = W.mix(cls.view(np.uint64) ^ key.astype(np.uint64), W.M2)
+    out = []
+    for _ in range(CENTRES):
+        if left.size < 2:
+            break
+        c = left[order[left].argmin()]
+        near = np.bitwise_count(s0[left] ^ s0[c]).astype(np.int32) + np.bitwise_count(s1[left] ^ s1[c]) <= BUDGET
+        own = left[near & (left != c)]
+        out.append(np.stack((np.full(own.size, c), own)))
+        left = left[~near]
+    i, j = np.concatenate(out, 1) if out else np.empty((2, 0), np.int64)
+    return i, j
+
+
+def block_pairs(linked: bool, cross: bool, centres: bool = False):
+    """Candidate pairs (a, b), a < b, of classes from the records of a task.
+
+    Of different components (``linked``), of both sides (``cross``); with ``centres``
+    blocks of more than ``STAR`` give their ``centre_pairs`` only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [x for b in batches for x in b.column("records").to_pylist()]
@@ -170,6 +198,15 @@ def block_pairs(linked: bool, cross: bool):
             own = r[(r["flag"] & PART > 0) == part]
             if not own.size:
                 continue
+            if centres and not part:
+                edge = np.flatnonzero(np.concatenate(([True], own["key"][1:] != own["key"][:-1])))
+                size = np.diff(np.append(edge, own.size))
+                for a, z in zip(edge[size > STAR], size[size > STAR]):
+                    b = own[a : a + z]
+                    c = np.ascontiguousarray(b["cls"])
+                    i, j = centre_pairs(b["key"], c, np.ascontiguousarray(b["s0"]).view(np.uint64), np.ascontiguousarray(b["s1"]).view(np.uint64))
+                    out.append(np.stack(_unique_pairs(c[i], c[j]), 1))
+                own = own[np.repeat(size <= STAR, size)]
             flag, n, cls = own["flag"], own["n"].astype(np.int64), np.ascontiguousarray(own["cls"])
             side = (flag & SECOND > 0).astype(np.int8) if part else None
             both = (flag & TR > 0, flag & EV > 0) if cross else (None, None)
@@ -199,7 +236,7 @@ class Banded:
     """
 
     def __init__(self, turns: DataFrame, cross: bool):
-        self.cross = cross
+        self.cross, self.linked = cross, False
         self.spark = turns.sparkSession
         self.sketch = Stage(turns.where("turn_id is not null").select("turn_id", "text", "side").mapInArrow(W.sketch, W.SKETCH), "sketch")
         self.member = self.sketch.df.select("turn_id", "side", "cls").distinct()
@@ -229,36 +266,47 @@ class Banded:
     def near(self) -> DataFrame:
         """Pairs (a, b, jaccard), a < b, of near classes; without ``cross`` enough of them to link every two classes that near ones chain together."""
         found = self._hot()
-        hot = np.array(sorted(found), np.int64)
-        chunks = np.array([-(-found[k] // CHUNK) for k in hot.tolist()], np.int64)
-        feats, linked, stars = self.features.df, False, None
-        if hot.size and not self.cross:
-            low = self._ends(feats, hot.view(np.uint64), "cls")
-            centre = np.array([low[k][0] for k in hot.tolist()], np.int64)
-            pairs = Stage(feats.select("cls", "words").mapInArrow(under_hot(self.rows, self.bands, hot.view(np.uint64), centre, "links"), "a bigint, b bigint").distinct(), "links")
-            stars = Stage(self.verified(pairs.df), "stars")
-            pairs.drop()
-            if stars.df.head(1):
-                comp = connected_components(stars.df, "a", "b").select(F.col("node").alias("cls"), "component")
-                feats = feats.join(comp, "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
-                feats = Stage(feats, "linked")
-                self.features.drop()
-                self.features, feats, linked = feats, feats.df, True
-                ends = self._ends(feats, hot.view(np.uint64), "comp")
-                chunks = np.where([ends[k][0] == ends[k][1] for k in hot.tolist()], 0, chunks)
-        passes = []
-        for first in range(0, self.bands, BANDS_PER_PASS):
-            last = min(first + BANDS_PER_PASS, self.bands)
-            tasks = max(self.spark.sparkContext.defaultParallelism, -(-self.n * (last - first) // RECORDS_PER_TASK))
-            sent = feats.mapInArrow(packed(self.rows, first, last, tasks, hot.view(np.uint64), chunks, linked), "task int, records binary")
-            pairs = sent.repartitionById(tasks, "task").mapInArrow(block_pairs(linked, self.cross), "a bigint, b bigint")
-            passes.append(Stage(pairs.distinct(), "candidates"))
+        keys = np.array(sorted(found), np.int64)
+        hot, chunks = keys.view(np.uint64), np.array([-(-found[k] // CHUNK) for k in keys.tolist()], np.int64)
+        edges: list[DataFrame] = []
+        if keys.size and not self.cross:
+            low = self._ends(self.features.df, hot, "cls")
+            centre = np.array([low[k][0] for k in keys.tolist()], np.int64)
+            pairs = self.features.df.select("cls", "words").mapInArrow(under_hot(self.rows, self.bands, hot, centre, "links"), "a bigint, b bigint")
+            edges.append(self.verified(pairs.distinct()))
+            chunks = self._link(edges, keys, chunks)
+        if not self.cross:
+            first = self._pass(0, min(BANDS_PER_PASS, self.bands), hot, chunks, centres=True)
+            edges.append(self.verified(first.df))
+            first.drop()
+            chunks = self._link(edges, keys, chunks)
+        passes = [self._pass(at, min(at + BANDS_PER_PASS, self.bands), hot, chunks) for at in range(0, self.bands, BANDS_PER_PASS)]
         every = reduce(DataFrame.unionByName, [p.df for p in passes]).distinct() if len(passes) > 1 else passes[0].df
-        out = self.verified(every)
-        out = Stage(out.unionByName(stars.df) if stars else out, "near")
-        for s in (*passes, *([stars] if stars else [])):
-            s.drop()
-        return out.df
+        edges.append(self.verified(every))
+        for p in passes:
+            p.drop()
+        return reduce(DataFrame.unionByName, edges)
+
+    def _link(self, edges: list[DataFrame], keys: np.ndarray, chunks: np.ndarray) -> np.ndarray:
+        """Give every class the component that the edges so far put it in; hot keys of one component get no chunks."""
+        comp = connected_components(reduce(DataFrame.unionByName, edges), "a", "b").select(F.col("node").alias("cls"), "component")
+        comp = Stage(comp, "components")
+        old = self.features
+        feats = old.df.drop("comp").join(small(comp.df, comp.df.count()), "cls", "left").withColumn("comp", F.coalesce("component", "cls")).drop("component")
+        self.features, self.linked = Stage(feats, "linked"), True
+        old.drop()
+        comp.drop()
+        if not keys.size:
+            return chunks
+        ends = self._ends(self.features.df, keys.view(np.uint64), "comp")
+        return np.where([ends[k][0] == ends[k][1] for k in keys.tolist()], 0, chunks)
+
+    def _pass(self, first: int, last: int, hot: np.ndarray, chunks: np.ndarray, centres: bool = False) -> Stage:
+        """Candidate pairs under some of the bands."""
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-self.n * (last - first) // RECORDS_PER_TASK))
+        sent = self.features.df.mapInArrow(packed(self.rows, first, last, tasks, hot, chunks, self.linked), "task int, records binary")
+        pairs = sent.repartitionById(tasks, "task").mapInArrow(block_pairs(self.linked, self.cross, centres), "a bigint, b bigint")
+        return Stage(pairs.distinct(), "candidates")
 
     def verified(self, pairs: DataFrame, least: float = JACCARD) -> DataFrame:
         """Pairs (a, b, jaccard) of classes whose distinct words have at least that Jaccard similarity."""
