@@ -263,11 +263,14 @@ class Banded:
         got = df.select(value, "words").mapInArrow(under_hot(self.rows, self.bands, hot, value, "ends"), "key bigint, lo bigint, hi bigint")
         return {r["key"]: (r["lo"], r["hi"]) for r in got.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()}
 
-    def near(self) -> DataFrame:
-        """Pairs (a, b, jaccard), a < b, of near classes; without ``cross`` enough of them to link every two classes that near ones chain together."""
-        found = self._hot()
-        keys = np.array(sorted(found), np.int64)
-        hot, chunks = keys.view(np.uint64), np.array([-(-found[k] // CHUNK) for k in keys.tolist()], np.int64)
+    def near(self, more: DataFrame | None = None) -> DataFrame:
+        """Pairs (a, b, jaccard), a < b, of near classes; without ``cross`` enough of them to link every two classes that near ones chain together.
+
+        ``more`` has candidates (a, b), a < b, found otherwise, which are checked with the others.
+        """
+        seen = self._hot()
+        keys = np.array(sorted(seen), np.int64)
+        hot, chunks = keys.view(np.uint64), np.array([-(-seen[k] // CHUNK) for k in keys.tolist()], np.int64)
         edges: list[DataFrame] = []
         if keys.size and not self.cross:
             low = self._ends(self.features.df, hot, "cls")
@@ -281,7 +284,8 @@ class Banded:
             first.drop()
             chunks = self._link(edges, keys, chunks)
         passes = [self._pass(at, min(at + BANDS_PER_PASS, self.bands), hot, chunks) for at in range(0, self.bands, BANDS_PER_PASS)]
-        every = reduce(DataFrame.unionByName, [p.df for p in passes]).distinct() if len(passes) > 1 else passes[0].df
+        found = [p.df for p in passes] + ([] if more is None else [more])
+        every = reduce(DataFrame.unionByName, found).distinct() if len(found) > 1 else found[0]
         edges.append(self.verified(every))
         for p in passes:
             p.drop()
